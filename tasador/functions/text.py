@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,10 +107,27 @@ def whole(c: Column) -> Column:
 
 def nfkd(c: Column) -> Column:
     """Compatibility decomposition; Spark has no such function, so one Arrow batch UDF."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def normalise(batch: pd.Series) -> pd.Series:
         return batch.str.normalize("NFKD")
 
     return normalise(c)
+
+
+def bag_tokens(c: Column) -> Column:
+    """Telling tokens of a description, upper case.
+
+    Dropped: empties, and tokens that without "(" start with a digit or have at
+    most one character.  A token that is nothing but "(" stays.
+    """
+
+    def telling(t: Column) -> Column:
+        bare = strip(F.replace(t, F.lit("("), F.lit("")))
+        return (t != "") & ((bare == "") | ((F.length(bare) > 1) & ~bare.rlike("^[0-9]")))
+
+    return F.transform(F.filter(tokens(c), telling), lambda t: F.upper(t))
+
+
+def bag(c: Column) -> Column:
+    """The telling tokens as one text."""
+    return F.array_join(bag_tokens(c), " ")
