@@ -233,8 +233,8 @@ _OLD = _case("st", [(f"'{k}'", v) for k, v in CONDITION_OLD.items()])
 @register(
     "val_residual",
     f"""{cte('listing')}, x AS (SELECT *, {_STATE_SQL} AS st FROM listing) SELECT l_orderkey, l_linenumber, st AS state,
-    round("Price" * ({_PCT}) / 100 * CASE WHEN "Age" < 2 THEN {_YOUNG} ELSE {_OLD} END, 4) AS residual FROM x""",
+    "Price" * ({_PCT}) / 100 * CASE WHEN "Age" < 2 THEN {_YOUNG} ELSE {_OLD} END AS residual FROM x""",
 )
 def val_residual(spark, sf_dir):
     state = F.get(F.array(*[F.lit(s) for s in _STATES]), c("l_linenumber") % 4)
-    return _listing(spark, sf_dir).select(*ROW, state.alias("state"), F.round(residual_value(c("Price"), c("Age"), state), 4).alias("residual"))
+    return _listing(spark, sf_dir).select(*ROW, state.alias("state"), residual_value(c("Price"), c("Age"), state).alias("residual"))

@@ -222,7 +222,63 @@ SELECT c_custkey,
 FROM customer
 """
 
+# Listing pages as the sites show them: every text field of a listing, in each site's layout.
+_DOTTED = (
+    "CASE WHEN l_extendedprice >= 1000 THEN CAST(CAST(floor(l_extendedprice / 1000) AS BIGINT) AS STRING) || '.' || "
+    "lpad(CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS STRING), 3, '0') ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) END"
+)
+_FB = _pick("(l_partkey % 8)", ["Audi", "TOYOTA", "Land", "Mercedes", "Ducati", "BMW", "Citroën", "Silence"])
+_FM = _pick("((l_partkey + l_suppkey) % 7)", ["CLASE", "SERIE", "A3", "Nuevo", "LAND", "León", "Serie"])
+_FF = _pick("(l_orderkey % 7)", ["Gasolina", "Diesel", "Eléctrico", "Híbrido (enchufable)", "5 puertas", "híbrido", "GLP"])
+_FG = _pick("(l_suppkey % 6)", ["Manual", "Automática", "S tronic", "DSG 7", "manual 6 vel", "Automático"])
+_FK = "CAST(CAST(l_quantity AS INT) AS STRING) || '.' || lpad(CAST(l_partkey % 1000 AS STRING), 3, '0') || ' km'"
+_FP = "CASE WHEN l_orderkey % 13 = 0 THEN '85 kW' ELSE '85 kW (' || CAST(p_size * 5 AS STRING) || ' CV)' END"
+_FY = "CASE WHEN l_orderkey % 11 = 0 THEN '2014' ELSE '0' || CAST(l_linenumber AS STRING) || '/' || CAST(year(l_shipdate) + 15 AS STRING) END"
+FICHA = f"""
+SELECT l_orderkey, l_linenumber, title, price, kms, power, year_text, gear, fuel, province, label, link,
+  CASE WHEN l_orderkey % 3 = 0 THEN list_value(kms, gear, year_text, fuel, power || CASE WHEN l_partkey % 5 = 0 THEN ' PARTICULAR' ELSE '' END) END AS spans,
+  CASE WHEN l_orderkey % 2 = 0 THEN kms || chr(10) || year_text || chr(10) || power || chr(10) || 'a' || chr(10) || 'b' || chr(10) || gear || chr(10) || fuel
+       ELSE kms || chr(10) || gear || chr(10) || year_text || chr(10) || fuel || chr(10) || power END AS block,
+  'Euro 6' || chr(10) || '99 CV' || chr(10) || power || chr(10) || CAST(p_size AS STRING) || ' CV' || chr(10) || 'x' AS details,
+  CASE WHEN l_orderkey % 4 = 0 THEN 'Nuevo ' ELSE '' END || brand || ' ' || model || CASE WHEN l_linenumber = 2 THEN ' Plus' ELSE '' END || ' x' AS market_brand,
+  'Coche 1.5 ' || p_type || CASE WHEN l_linenumber = 3 THEN '' ELSE ' | ' || year_text || ' | x' END AS market_features,
+  'Marca:' || chr(10) || ' ' || brand || chr(10) || 'Modelo:' || chr(10) || model || chr(10) || 'Versión:' || chr(10) || p_name || chr(10)
+    || 'Kilómetros:' || chr(10) || kms || chr(10) || 'Precio:' || chr(10) || price || chr(10) || 'Combustible:' || chr(10) || fuel || chr(10)
+    || 'Cambio:' || chr(10) || gear || chr(10) || 'Potencia(CV):' || chr(10) || CAST(p_size AS STRING) || chr(10)
+    || CASE WHEN l_linenumber = 1 THEN 'Año:' || chr(10) || '2019' WHEN l_linenumber = 2 THEN 'Año Desde:' || chr(10) || '2018' ELSE 'Año:' || chr(10) || year_text END
+    || CASE WHEN l_orderkey % 17 = 0 THEN '' ELSE chr(10) || 'Fin' END AS label_text,
+  'Marca: ' || brand || chr(10) || 'Modelo :' || model || chr(10) || 'Versión: ' || p_name || chr(10) || 'Kilómetros: ' || kms || chr(10)
+    || 'Precio contado: ' || price || CASE WHEN l_linenumber = 2 THEN chr(10) || 'Precio: 9.999 €' ELSE '' END || chr(10) || 'Combustible: ' || fuel || chr(10)
+    || CASE WHEN l_orderkey % 17 = 0 THEN '' ELSE 'Cambio: ' || gear || chr(10) END || 'Potencia(CV): ' || CAST(p_size AS STRING) || chr(10) || 'Año Desde: 2018'
+    || CASE WHEN l_linenumber = 3 THEN chr(10) || 'Año: 2020' ELSE '' END || CASE WHEN l_linenumber = 4 THEN chr(10) || 'PrecioFinanciado: 1' ELSE '' END AS colon_text
+FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, p_name, p_type, p_size, {_FB} AS brand, {_FM} AS model,
+    {_FB} || ' ' || {_FM} || chr(10) || p_name || ' - x ' || p_type AS title,
+    {_DOTTED} || CASE WHEN l_linenumber = 5 THEN ' € 1.500 €' WHEN l_linenumber = 6 THEN ',50 €' ELSE ' €' END AS price,
+    {_FK} AS kms, {_FP} AS power, {_FY} AS year_text, {_FG} AS gear, {_FF} AS fuel,
+    CASE WHEN l_suppkey % 2 = 0 THEN 'Las Palmas' ELSE 'S/C Tenerife' END AS province,
+    CASE WHEN l_returnflag = 'R' THEN ' Financiado ' ELSE 'Contado' END AS label, 'https://example.org/' || CAST(l_orderkey AS STRING) AS link
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+) f
+"""
+# One page per part, with a definition list.
+PART_PAGES = f"""
+SELECT p_partkey AS page_id, 'https://example.org/' || CAST(p_partkey AS STRING) AS url,
+  '<html><body><h1 class="titulo-pagina">' || {_pick("(p_partkey % 6)", ["Toyota LAND", "Land Rover", "Mercedes CLASE A", "BMW SERIE 3", "Seat León", "Audi A3"])}
+  || ' ' || p_name || '</h1><dl><dt>Precio</dt><dd class="ddprecio"><strong>' || CAST(p_size AS STRING) || '.500 €'
+  || CASE WHEN p_partkey % 4 = 0 THEN ' 9.900 €' ELSE '' END || '</strong></dd><dt>Versión<dd>' || p_type || ' &amp; ' || p_name
+  || '<dt>Matriculación</dt><dd> 0' || CAST(p_partkey % 9 + 1 AS STRING) || '/20' || CAST(p_partkey % 14 + 10 AS STRING)
+  || '</dd><dt>Combustible</dt><dd>' || {_pick("(p_partkey % 5)", ["gasolina", "Diesel", "híbrido", "5 puertas", "Gas"])}
+  || '</dd><dt>Kilómetros</dt><dd>' || CAST(p_size AS STRING) || '.000 Km</dd><dt>Potencia máxima</dt><dd>' || CAST(p_size * 3 AS STRING)
+  || ' CV (85 kW)</dd>' || CASE WHEN p_partkey % 3 = 0 THEN '<dt>Cambio</dt><dd>Manual</dd>' ELSE '' END || '</dl><span class="lugar">'
+  || CASE WHEN p_partkey % 2 = 0 THEN 'Las Palmas de G.C.' ELSE 'Adeje' END || '</span><section class="datos-vendedor">'
+  || CASE WHEN p_partkey % 7 = 0 THEN 'Particular' ELSE 'Concesionario' END || '</section></body></html>' AS html
+FROM part
+"""
+
 VIEWS = {
+    "ficha": FICHA,
+    "part_pages": PART_PAGES,
     "bronze": BRONZE,
     "listing": LISTING,
     "price_list": PRICE_LIST,

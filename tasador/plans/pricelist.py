@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tasador import schemas
 from tasador.functions.text import alphanumeric, drop_text, fold_accents, nfkd, number, strip, token, tokens_after
 from tasador.operators.keyed import keep_last, lookup
+from tasador.operators.steps import counted
 from tasador.plans.silver import stamp
 
 # Fuel codes of the list; fixed values.
@@ -138,5 +139,6 @@ def build_price_list(
     raw: DataFrame, segments: DataFrame, as_of, extra: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """The full list and its part with a known segment; `segments` is a `segment_merge`."""
-    full = publish(join_segment(normalise(period(split_model(map_fuel(normal_model(raw))), as_of)), segments), extra)
+    split = counted(split_model(counted(period(map_fuel(normal_model(raw)), as_of), "in period")), "split")
+    full = publish(join_segment(normalise(split), segments), extra)
     return full, full.filter(F.col("Segment").isNotNull())

@@ -19,6 +19,7 @@ from tasador import schemas
 from tasador.functions import rules
 from tasador.functions.text import capitalise, drop_text, fold_accents, number, respell, strip
 from tasador.operators.keyed import keep_last, lookup
+from tasador.operators.steps import counted
 
 # Spelling repairs of the segment dictionary; fixed values.
 DIM_BRANDS = {"ALFAROMEO": "ALFA ROMEO", "LANDROVER": "LAND ROVER", "CITROËN": "CITROEN"}
@@ -56,20 +57,6 @@ def rule_stage(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumns(columns)
 
 
-def counted(df: DataFrame, step: str, counts: Mapping[str, Observation] | None = None) -> DataFrame:
-    """Count the rows passing this step, without a job of its own.
-
-    The counter also keeps later filters above the rules.  A filter pushed
-    through a projection has the projection's expressions copied into it, once
-    per mention; through a chain of rules that mention their input three or four
-    times the copies multiply.
-    """
-    rows = F.count(F.lit(1)).alias("rows")
-    if counts and step in counts:
-        return df.observe(counts[step], rows)
-    return df.observe(f"{step} {id(df)}", rows)
-
-
 def row_rules(df: DataFrame, as_of, gear_synonyms: Mapping[str, str] | None = None) -> DataFrame:
     """The per-listing rules; adds `Family`."""
     c = F.col
