@@ -306,7 +306,7 @@ SELECT DISTINCT CASE b WHEN 'LAND' THEN 'LAND ROVER' WHEN 'MERCEDES' THEN 'MERCE
   trim(string_split(regexp_extract(html, '<dt>Potencia máxima</dt><dd>([^<]*)<', 1), 'CV')[1]) AS "Cilindrada",
   trim(string_split(regexp_extract(html, '<dt>Matriculación</dt><dd>([^<]*)<', 1), '/')[-1]) AS "AnyoMatriculacion",
   CASE WHEN contains(html, 'Las Palmas de') THEN 'LAS PALMAS' ELSE 'S/C TENERIFE' END AS "Provincia",
-  CASE WHEN length({tok(_STRONG, 2)}) > 1 OR length({tok(_STRONG, 3)}) > 1 THEN 'FINANCIADO' ELSE 'SIN FINANCIACIÓN' END AS "Financiado",
+  CASE WHEN length({tok(_STRONG, 2)}) > 1 THEN 'FINANCIADO' ELSE 'SIN FINANCIACIÓN' END AS "Financiado",
   CASE WHEN contains(html, '>Particular<') THEN 'Particular' ELSE 'Profesional' END AS "Venta", url AS "Links", {_stamped('MotorES')}
 FROM x WHERE NOT contains({_FUEL_PP}, 'puertas')"""
 

@@ -265,8 +265,8 @@ FROM (
 PART_PAGES = f"""
 SELECT p_partkey AS page_id, 'https://example.org/' || CAST(p_partkey AS STRING) AS url,
   '<html><body><h1 class="titulo-pagina">' || {_pick("(p_partkey % 6)", ["Toyota LAND", "Land Rover", "Mercedes CLASE A", "BMW SERIE 3", "Seat León", "Audi A3"])}
-  || ' ' || p_name || '</h1><dl><dt>Precio</dt><dd class="ddprecio"><strong>' || CAST(p_size AS STRING) || '.500 €'
-  || CASE WHEN p_partkey % 4 = 0 THEN ' 9.900 €' ELSE '' END || '</strong></dd><dt>Versión<dd>' || p_type || ' &amp; ' || p_name
+  || ' ' || p_name || '</h1><dl><dt>Precio</dt><dd class="ddprecio"><strong>' || CAST(p_size AS STRING) || '.500'
+  || CASE WHEN p_partkey % 8 = 0 THEN ' 9.900 €' WHEN p_partkey % 4 = 0 THEN ' € 9.900 €' ELSE ' €' END || '</strong></dd><dt>Versión<dd>' || p_type || ' &amp; ' || p_name
   || '<dt>Matriculación</dt><dd> 0' || CAST(p_partkey % 9 + 1 AS STRING) || '/20' || CAST(p_partkey % 14 + 10 AS STRING)
   || '</dd><dt>Combustible</dt><dd>' || {_pick("(p_partkey % 5)", ["gasolina", "Diesel", "híbrido", "5 puertas", "Gas"])}
   || '</dd><dt>Kilómetros</dt><dd>' || CAST(p_size AS STRING) || '.000 Km</dd><dt>Potencia máxima</dt><dd>' || CAST(p_size * 3 AS STRING)
