@@ -171,27 +171,23 @@ def drop_first_word(text: Column) -> Column:
     return tokens_after(text, 1)
 
 
-def labelled(text: Column, label: str) -> Column:
+def labelled(lines: Column, label: str) -> Column:
     """The line after the first line that is exactly `label`."""
-    lines = tokens(text, "\n")
     at = F.array_position(lines, F.lit(label))
     return strip(F.when(at > 0, F.try_element_at(lines, (at + 1).cast("int"))))
 
 
-def key_values(text: Column) -> Column:
-    """Lines "Key: value" as a map; of a repeated key the last one counts."""
+def key_lines(text: Column) -> Column:
+    """Lines "Key: value" as an array of (k, v); lines without a colon are left out."""
     lines = F.filter(tokens(text, "\n"), lambda t: t.contains(":"))
-    keyed = F.transform(lines, lambda t: F.struct(strip(token(t, 0, ":")).alias("k"), strip(token(t, 1, ":")).alias("v")))
-    last = F.filter(
-        keyed, lambda e, i: ~F.exists(F.slice(keyed, i + 2, F.size(keyed)), lambda later: later["k"] == e["k"])
-    )
-    return F.map_from_entries(last)
+    parts = F.transform(lines, lambda t: F.split(t, ":", 3))
+    return F.transform(parts, lambda p: F.struct(strip(p[0]).alias("k"), strip(p[1]).alias("v")))
 
 
-def last_of(text: Column, keys: list[str]) -> Column:
-    """Value of whichever of several keys comes last in "Key: value" lines."""
-    lines = F.transform(
-        tokens(text, "\n"), lambda t: F.struct(strip(token(t, 0, ":")).alias("k"), strip(token(t, 1, ":")).alias("v"))
-    )
-    named = F.filter(lines, lambda e: e["k"].isin(keys) & e["v"].isNotNull())
-    return F.try_element_at(named, F.lit(-1))["v"]
+def last_of(lines: Column, keys: list[str]) -> Column:
+    """Value of whichever of several keys comes last in `key_lines`."""
+    return F.try_element_at(F.filter(lines, lambda e: e["k"].isin(keys)), F.lit(-1))["v"]
+
+
+def has_key(lines: Column, key: str) -> Column:
+    return F.exists(lines, lambda e: e["k"] == key)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tasador import schemas
 from tasador.functions import fields
 from tasador.functions.text import drop_text, number, strip, token, tokens
+from tasador.operators.steps import counted
 from tasador.plans.silver import stamp as _stamp
 
 
@@ -140,19 +141,23 @@ LABELS = {
 
 def labelled_fields(df: DataFrame, text: str) -> DataFrame:
     """Bronze fields from "Label:" lines followed by their value; of two labels the first present counts."""
+    # The lines are split once, as a column of their own; the fields then only look values up.
+    df = df.withColumn("_lines", tokens(F.col(text), "\n"))
     found = {
-        name: F.coalesce(*[fields.labelled(F.col(text), f"{label}:") for label in labels])
+        name: F.coalesce(*[fields.labelled(F.col("_lines"), f"{label}:") for label in labels])
         for name, labels in LABELS.items()
     }
-    return df.withColumns(found).dropna(subset=list(LABELS))
+    return counted(df.withColumns(found).drop("_lines"), "labelled").dropna(subset=list(LABELS))
 
 
 def keyed_fields(df: DataFrame, text: str, financed_key: str | None = None) -> DataFrame:
     """Bronze fields from "Key: value" lines; of two keys the last one present counts."""
     synonyms = {**LABELS, "Precio": ["Precio", "Precio contado"]}
-    found = {name: fields.last_of(F.col(text), keys) for name, keys in synonyms.items()}
-    flag = F.map_contains_key(fields.key_values(F.col(text)), financed_key) if financed_key else F.lit(False)
-    return df.withColumns({**found, "Financiado": fields.financed(flag)}).dropna(subset=list(LABELS))
+    df = df.withColumn("_lines", fields.key_lines(F.col(text)))
+    found = {name: fields.last_of(F.col("_lines"), keys) for name, keys in synonyms.items()}
+    flag = fields.has_key(F.col("_lines"), financed_key) if financed_key else F.lit(False)
+    df = df.withColumns({**found, "Financiado": fields.financed(flag)}).drop("_lines")
+    return counted(df, "keyed").dropna(subset=list(LABELS))
 
 
 def km0(df: DataFrame, as_of, site: str = "TuKm0") -> DataFrame:

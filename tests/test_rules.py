@@ -70,11 +70,11 @@ def test_link_needs_every_operand(apply_rule):
 
 def test_labels_and_keys(apply_rule):
     page = "Marca:\n Audi \nAño Desde:\n2019\nFin:"
-    assert apply_rule(lambda t: fields.labelled(t, "Marca:"), [(page,), ("x",)], ONE) == ["Audi", None]
-    assert apply_rule(lambda t: fields.labelled(t, "Fin:"), [(page,)], ONE) == [None]
+    assert apply_rule(lambda t: fields.labelled(text.tokens(t, "\n"), "Marca:"), [(page,), ("x",)], ONE) == ["Audi", None]
+    assert apply_rule(lambda t: fields.labelled(text.tokens(t, "\n"), "Fin:"), [(page,)], ONE) == [None]
     lines = "Precio contado: 1\nPrecio: 2\nAño : 2019"
-    assert apply_rule(lambda t: fields.last_of(t, ["Precio", "Precio contado"]), [(lines,)], ONE) == ["2"]
-    assert apply_rule(lambda t: fields.key_values(t)["k"], [("k: 1\nj: 0\nk: 2",)], ONE) == ["2"]
+    assert apply_rule(lambda t: fields.last_of(fields.key_lines(t), ["Precio", "Precio contado"]), [(lines,)], ONE) == ["2"]
+    assert apply_rule(lambda t: fields.has_key(fields.key_lines(t), "k"), [("k: 1\nj: 0",), ("k",)], ONE) == [True, False]
 
 
 def test_digest_is_sha224(apply_rule):

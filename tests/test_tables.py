@@ -110,3 +110,16 @@ def test_price_list(spark):
     }
     assert [r.seq for r in known.collect()] == [8]
     assert [(f.name, f.dataType) for f in full.drop("seq").schema] == [(f.name, f.dataType) for f in schemas.PRICE_LIST]
+
+
+def test_stream_appends_each_file_once(spark, tmp_path):
+    from tasador.streaming.bronze import append_files
+
+    source, table, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    full = sites.stamp(batch(spark, NEW).drop("Web"), "z", "2024-06-03 09:07:00")
+    typed = full.select(*[(F.col(f.name) if f.name in full.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.BRONZE])
+    for rows in (typed, typed.limit(1)):
+        rows.write.mode("append").parquet(source)
+        append_files(spark, source, table, state).awaitTermination()
+    assert sinks.versions(spark, table) == [1, 2]
+    assert sinks.read_current(spark, table).count() == 2
