@@ -19,7 +19,7 @@ from tasador import schemas
 from tasador.functions import rules
 from tasador.functions.text import capitalise, drop_text, fold_accents, number, respell, strip
 from tasador.operators.keyed import keep_last, lookup
-from tasador.operators.steps import counted
+from tasador.operators.steps import counted, spread
 
 # Spelling repairs of the segment dictionary; fixed values.
 DIM_BRANDS = {"ALFAROMEO": "ALFA ROMEO", "LANDROVER": "LAND ROVER", "CITROËN": "CITROEN"}
@@ -195,7 +195,7 @@ def new_listings(
 ) -> DataFrame:
     """Cleaned rows of this run; `segments` is a `segment_dimension`."""
     df = rename_bronze(recent(bronze, since)).dropna(subset=["Brand", "Province", "Fuel", "Gearbox"])
-    df = counted(df, "incoming", counts)
+    df = counted(spread(df), "incoming", counts)
     df = counted(row_rules(prepare(df), as_of, gear_synonyms), "ruled", counts)
     df = required(counted(tidy(df), "tidied", counts))
     df = with_ids(attach_segment(df, segments), bits)
