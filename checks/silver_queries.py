@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from checks.registry import register
+from checks.registry import ORACLE, register
 from checks.views import AS_OF, cte, view
 from tasador import schemas
 from tasador.functions import rules
-from tasador.functions.text import capitalise, fold_accents, strip
+from tasador.functions.text import capitalise, fold_accents, number, strip
 from tasador.operators import keyed
 from tasador.plans import silver as S
 
@@ -247,12 +248,10 @@ bronze_rule(
     rules.null_token(F.coalesce(c("Modelo"), F.lit("nan"))).alias("model")],
 )
 _NUMERIC = {"kms": "Kms", "price": "Precio", "registration": "AnyoMatriculacion", "cv": "Cilindrada"}
-from tasador.functions.text import number as _number  # noqa: E402
-
 bronze_rule(
     "cln_numeric",
     ", ".join(f"{num(v)} AS {k}" for k, v in _NUMERIC.items()),
-    lambda: [*[_number(c(v)).alias(k) for k, v in _NUMERIC.items()]],
+    lambda: [*[number(c(v)).alias(k) for k, v in _NUMERIC.items()]],
 )
 _UP = ["Marca", "Modelo", "Caracteristicas", "Combustible", "Caja", "Provincia", "Web"]
 bronze_rule("cln_upper", ", ".join(f'upper({n}) AS "{n}"' for n in _UP), lambda: [*[F.upper(c(n)).alias(n) for n in _UP]])
@@ -328,8 +327,6 @@ bronze_rule(
         )
     ).alias("publication")],
 )
-from checks.registry import ORACLE  # noqa: E402
-
 ORACLE["cln_pub_clamp"] = ORACLE["cln_pub_clamp"].replace(
     " FROM bronze ", f" FROM (SELECT *, {_PARSE.format(x='(' + SQL_PUB + ')')} AS p FROM bronze) b "
 )
@@ -381,8 +378,6 @@ def cln_types(spark, sf_dir):
     wide = df.withColumn("Price", F.when(c("Price").rlike(r"^\s*[0-9.]+\s*$"), c("Price")))
     keep = ["Kms", "Price", "ExtractedDate", "Segment"]
     schema = [f for f in schemas.SILVER if f.name in keep]
-    from pyspark.sql import types as T
-
     ids = [T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType())]
     out = S.typed(wide, T.StructType(ids + schema))
     return out.withColumn("ExtractedDate", ts_text(c("ExtractedDate")))
