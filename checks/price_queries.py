@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import register
@@ -11,6 +13,7 @@ from tasador.functions.text import bag, nfkd
 from tasador.operators import dictionaries as D
 from tasador.operators import match as M
 from tasador.plans import pricelist as P
+from tasador.session import shared_dir
 
 YEAR = AS_OF[:4]
 
@@ -192,6 +195,16 @@ def dic_power(spark, sf_dir):
     return df.select("Brand", "Model", F.array_join(F.transform("Powers", lambda v: v.cast("int").cast("string")), " ").alias("powers"))
 
 
+@register(
+    "dic_save",
+    f"""{cte('price_list')} SELECT p_partkey, array_to_string({_bag_sql("coalesce(\"Features\", '-')")}, ' ') AS bags FROM price_list""",
+)
+def dic_save(spark, sf_dir):
+    folder = f"{shared_dir(spark).rstrip('/')}/check-{uuid.uuid4().hex}"
+    paths = D.save(view(spark, sf_dir, "price_list"), view(spark, sf_dir, "listing"), folder)
+    return spark.read.parquet(paths["bags"]).select("p_partkey", c("Bags").alias("bags"))
+
+
 @register(
     "map_model_segment",
     f"""{cte('listing')} SELECT "Brand", "Model", arg_min("Segment", CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR) || "Segment") AS "Segment"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tasador.functions.text import alphanumeric, bag, strip, token, tokens
 from tasador.operators.keyed import keep_first, semi_lookup
+from tasador.sources.sinks import overwrite
 
 
 def key_word(t: Column) -> Column:
@@ -53,3 +54,12 @@ def model_segments(listings: DataFrame, order: list[str]) -> DataFrame:
     """(Brand, Model, Segment): first known segment of each model."""
     known = listings.dropna(subset=["Brand", "Model", "Segment"]).select("Brand", "Model", *order, "Segment")
     return keep_first(known, ["Brand", "Model"], order).drop(*order)
+
+
+def save(prices: DataFrame, listings: DataFrame, folder: str) -> dict[str, str]:
+    """Write bags, key words and powers as versioned tables; returns the path of each."""
+    return {
+        "bags": overwrite(bags(prices), f"{folder}/bags"),
+        "keywords": overwrite(keywords(prices), f"{folder}/keywords"),
+        "powers": overwrite(powers(listings, prices), f"{folder}/powers"),
+    }
