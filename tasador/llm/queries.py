@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import simhash
+from tasador.llm import quality, simhash
 from tasador.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op3_quality_rules")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    weights = quality.fit_weights(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
+    return quality.verdicts(docs, weights)
+
+
 @register("op10_simhash_near_dedup")
 def op10(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
