@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import decontam, quality, simhash
+from tasador.llm import decontam, mixing, quality, simhash
 from tasador.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op2_source_mixing", mixing.SQL)
+def op2(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @register("op3_quality_rules")
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
