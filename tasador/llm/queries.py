@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import decontam, mixing, quality, simhash
+from tasador.llm import decontam, mixing, quality, simhash, tokencount, tokenfile
 from tasador.llm.common import prepared, table
+from tasador.llm.tokenizer import vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,16 @@ def op5(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op6_token_files")
+def op6(spark, sf_dir):
+    return tokenfile.written_and_read(table(spark, sf_dir, "documents"), vocabulary_path(tokenfile.VOCABULARY))
+
+
+@register("op8_token_counts")
+def op8(spark, sf_dir):
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(tokencount.VOCABULARY))
+
+
 @register("op10_simhash_near_dedup")
 def op10(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
