@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import decontam, mixing, quality, simhash, tokencount, tokenfile
+from tasador.llm import decontam, mixing, quality, simhash, tokencount, tokenfile, warc
 from tasador.llm.common import prepared, table
 from tasador.llm.tokenizer import vocabulary_path
 
@@ -64,6 +64,17 @@ def op8(spark, sf_dir):
     return tokencount.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(tokencount.VOCABULARY))
 
 
+@register(
+    "op9_warc_archive",
+    """WITH p AS (SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to, url FROM f""",
+)
+def op9(spark, sf_dir):
+    return warc.written_and_read(table(spark, sf_dir, "pages"))
+
+
 @register("op10_simhash_near_dedup")
 def op10(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
