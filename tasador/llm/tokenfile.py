@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.llm.common import scratch
-from tasador.llm.tokenizer import Encoder
+from tasador.llm.tokenizer import encoder
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -110,11 +110,11 @@ def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, e
     line = keys.repartitionByRange("doc_id", "_hash", "_row").sortWithinPartitions("doc_id", "_hash", "_row").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = Encoder(vocabulary), None
+        tokens, writer = encoder(vocabulary), None
         for batch in batches:
             if batch.num_rows:
-                writer = writer or Writer(folder, encoder.kind, length, end_id)
-                writer.add(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()))
+                writer = writer or Writer(folder, tokens.kind, length, end_id)
+                writer.add(batch.column(0).to_pylist(), tokens.encode(batch.column(1).to_pylist()))
         if writer:
             writer.close()
             row = [TaskContext.get().partitionId(), writer.ids, writer.documents, writer.n_docs, writer.n_tokens]

@@ -12,12 +12,11 @@ import public_tokenizers
 
 GROUP_CHARS = 1 << 18
 """Characters encoded in one call; the library keeps some hundred bytes per token until it returns."""
-WORDS_KEPT = 300_000
+WORDS_KEPT = 500_000
 WORDS_AT_ONCE = 20_000
 
-# A single space with something other than white space on both sides.
-_INNER_SPACE = re.compile(r" (?=\S)(?<=\S )")
-_BLANK = re.compile(r"\s")
+# White space that is more than a single space or line end.
+_WIDE = re.compile(r"\s\s|[^\S \n]")
 
 
 def vocabulary_path(name: str) -> str:
@@ -93,51 +92,83 @@ def counts(path: str, texts: list[str]) -> list[int]:
 class Encoder:
     """Token ids of whole texts.
 
-    Where `splits_at_spaces` holds and words carry their space in front, the
-    library encodes every word once and texts are put together from the words;
-    elsewhere it encodes the texts themselves.  The ids are the same.
+    Where `splits_at_spaces` holds and tokens carry the space in front, the
+    library encodes every word once, many in one call, and texts are put together
+    from the words; elsewhere it encodes the texts themselves.  The ids are the
+    same.  Frequent words are remembered from batch to batch.
     """
 
     def __init__(self, path: str) -> None:
         self.path, self.model = path, load(path)
-        self.wide = (self.model.vocab_size() if path.endswith(".model") else self.model.get_vocab_size(True)) > 1 << 16
-        self.kind = np.dtype("<u4" if self.wide else "<u2")
+        size = self.model.vocab_size() if path.endswith(".model") else self.model.get_vocab_size(True)
+        self.kind = np.dtype("<u4" if size > 1 << 16 else "<u2")
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.by_word = False
         if path.endswith(".json") and splits_at_spaces(path):
             vocabulary = self.model.get_vocab(True)
             self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
             self.opens[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True  # the sign of a byte-level space
-            self.by_word = bool(self.opens[self.model.encode(" a", add_special_tokens=False).ids[0]])
+            space, line = self._ids(" a"), self._ids("a\nb")
+            self.by_word = bool(self.opens[np.frombuffer(space, self.kind)[0]]) and len(line) == 3 * self.kind.itemsize
+            self.line = line[self.kind.itemsize : -self.kind.itemsize]
 
     def _ids(self, text: str) -> bytes:
         if self.path.endswith(".model"):
             return np.array(self.model.encode(text), self.kind).tobytes()
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _together(self, words: list[str], mark: str) -> dict[str, bytes]:
+        """The ids of words that have no white space: `mark` is a space, which opens each word's ids, or a line end, which parts them."""
+        out, size = {}, self.kind.itemsize
+        for first in range(0, len(words), WORDS_AT_ONCE):
+            part = words[first : first + WORDS_AT_ONCE]
+            raw = self._ids(mark + mark.join(part))
+            ids = np.frombuffer(raw, self.kind)
+            starts = np.flatnonzero(self.opens[ids] if mark == " " else ids == np.frombuffer(self.line, self.kind)) * size
+            if len(starts) == len(part):
+                out.update(zip(part, (raw[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(raw)]))))
+            else:
+                out.update((w, self._ids(mark + w)) for w in part)
+        return out
+
     def _learn(self, words: set[str]) -> None:
-        """Encode new words, many in one text: a token that opens with a space opens a word."""
-        odd = [w for w in words if _BLANK.search(w)]
-        plain = list(words.difference(odd))
-        for w in odd:
-            self.words[w] = self._ids(" " + w)
-        for first in range(0, len(plain), WORDS_AT_ONCE):
-            part = plain[first : first + WORDS_AT_ONCE]
-            ids = np.frombuffer(self._ids(" " + " ".join(part)), self.kind)
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(part):
-                raise ValueError("words and tokens do not match")
-            raw, size = ids.tobytes(), self.kind.itemsize
-            ends = [*(starts[1:] * size).tolist(), len(raw)]
-            self.words.update(zip(part, (raw[a:b] for a, b in zip((starts * size).tolist(), ends))))
+        """Remember the ids of words; those that begin with a line end stand for themselves, the others for a space and the word."""
+        if len(self.words) > WORDS_KEPT:
+            self.words, self.older = {}, self.words
+        known, old = self.words, self.older
+        new = []
+        for word in words:
+            if word not in known:
+                if word in old:
+                    known[word] = old[word]
+                else:
+                    new.append(word)
+        # A full stop or comma after a letter is a piece of its own: such words need only the word before it.
+        bases = {w[:-1] for w in new if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
+        todo = bases.union(w for w in new if w[:-1] not in bases or w[-1:] not in (".", ",")).difference(known)
+        spaced = self._together([w for w in todo if w[:1] != "\n"], " ")
+        lined = self._together([w[1:] for w in todo if w[:1] == "\n"], "\n")
+        known.update(spaced)
+        known.update(("\n" + w, ids) for w, ids in lined.items())
+        marks = {m: self._ids("a" + m)[self.kind.itemsize :] for m in (".", ",")}
+        for w in new:
+            if w not in known:
+                known[w] = known[w[:-1]] + marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian numbers of `kind`."""
         if not self.by_word:
             return [self._ids(t) for t in texts]
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        split = [_INNER_SPACE.split(t) for t in texts]
-        self._learn({w for pieces in split for w in pieces[1:]}.difference(self.words))
+        # Texts whose white space is single spaces and line ends; the others are encoded by the library as they are.
+        plain = [not _WIDE.search(t) for t in texts]
+        split = [t.replace("\n", " \n").split(" ") if p else None for t, p in zip(texts, plain)]
+        self._learn({w for pieces in split if pieces for w in pieces[1:]})
         get = self.words.__getitem__
-        return [b"".join([self._ids(p[0]), *map(get, p[1:])]) for p in split]
+        return [b"".join([self._ids(pieces[0]), *map(get, pieces[1:])]) if pieces else self._ids(t) for t, pieces in zip(texts, split)]
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path)
