@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import decontam, mixing, quality, simhash, tokencount, tokenfile, warc
+from tasador.llm import decontam, mixing, quality, simhash, tokencount, tokenfile, toxicity, warc
 from tasador.llm.common import prepared, table
 from tasador.llm.tokenizer import vocabulary_path
 
@@ -59,6 +59,12 @@ def op6(spark, sf_dir):
     return tokenfile.written_and_read(table(spark, sf_dir, "documents"), vocabulary_path(tokenfile.VOCABULARY))
 
 
+@register("op7_toxicity")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op8_token_counts")
 def op8(spark, sf_dir):
     return tokencount.token_counts(table(spark, sf_dir, "documents"), vocabulary_path(tokencount.VOCABULARY))
