@@ -31,46 +31,45 @@ READ = (
 def records(pages: DataFrame) -> DataFrame:
     """One row per page: its payload, the payload's digest, and whether an earlier page has stored it.
 
-    Columns: row, page_id, url, payload, payload_bytes, payload_digest, record_type,
-    refers_to and refers_row (the response's row).  Of pages with equal payloads of at least 100 bytes the one with the
+    Columns: page_id, url, payload, payload_bytes, payload_digest, record_type and
+    refers_to.  Of pages with equal payloads of at least 100 bytes the one with the
     smallest page_id is the response and the others revisit it; rows that share
     that id are all responses, as are pages without an id if no other has the
     payload.  A page without an id revisits one that has an id.  Null html is an
     empty payload.
+
+    Who revisits whom is found on ids and digests; payloads are shuffled once, by
+    id and digest, which spreads the pages that share one.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    own = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("bigint"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("payload")
-    )
+    own = pages.select(F.col("page_id").cast("bigint"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
     own = own.withColumn("payload_bytes", F.octet_length("payload").cast("bigint")).withColumn("payload_digest", F.sha2("payload", 256))
-    # Copies fold to one row per input partition before they are shuffled; the join's hot digests are Spark's to split.
-    shared = own.filter(F.col("payload_bytes") >= SHARED_FROM).groupBy("payload_digest").agg(
-        F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row"))).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    first = shared.filter("n > 1").select(F.col("payload_digest").alias("_digest"), F.col("first.page_id").alias("first"), F.col("first.row").alias("first_row"))
-    met = own.join(first, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") >= SHARED_FROM), "left")
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return met.select(
-        "row", "page_id", "url", "payload", "payload_bytes", "payload_digest",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"),
-        F.when(revisit, F.col("first_row")).alias("refers_row"),
-    )
+    # Copies fold to one row per input partition before they are shuffled; a digest's ids are Spark's to split.
+    ids = own.filter(F.col("payload_bytes") >= SHARED_FROM).select("page_id", "payload_digest").distinct()
+    first = ids.groupBy(F.col("payload_digest").alias("_of")).agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = ids.join(first, F.col("payload_digest") == F.col("_of")).filter(F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    later = later.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), "refers_to")
+    met = own.join(later, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("payload_digest") == F.col("_digest")), "left")
+    kind = F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type")
+    return met.select("page_id", "url", "payload", "payload_bytes", "payload_digest", kind, "refers_to")
 
 
 def chunk_table(found: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """`records` as rows of at most `chunk` payload bytes: record row, chunk number, data.
+    """`records` as rows of at most `chunk` payload bytes: the record's columns, chunk number, data.
 
-    A revisit stores no payload and is one row without data, as is an empty payload.
+    The rows of a record follow each other.  A revisit stores no payload and is
+    one row without data, as is an empty payload.
     """
     stored = F.when(F.col("record_type") == "revisit", F.lit(0).cast("bigint")).otherwise(F.col("payload_bytes"))
     last = F.greatest(F.lit(0).cast("bigint"), F.floor((stored - 1) / chunk).cast("bigint"))
     numbered = found.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     data = F.when(stored > 0, F.substring("payload", (F.col("chunk_no") * chunk + 1).cast("int"), F.lit(chunk))).otherwise(F.lit(b""))
-    return numbered.withColumn("data", data).select("row", "page_id", "url", "record_type", "refers_to", "refers_row", "payload_bytes", "payload_digest", "chunk_no", "data")
+    return numbered.withColumn("data", data).select("page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "chunk_no", "data")
 
 
-def _identity(page_id: int | None, row: int) -> str:
-    return f"<urn:page:{row}>" if page_id is None else f"<urn:page-id:{page_id}:{row}>"
+def _identity(page_id: int | None, digest: str) -> str:
+    """Depends on the content, so that a revisit can name its response; rows equal in both are one record written again."""
+    return f"<urn:page:{digest}>" if page_id is None else f"<urn:page-id:{page_id}:{digest}>"
 
 
 def _header(chunk: dict) -> tuple[bytes, int]:
@@ -82,7 +81,7 @@ def _header(chunk: dict) -> tuple[bytes, int]:
     lines = [
         "WARC/1.1",
         f"WARC-Type: {chunk['record_type']}",
-        f"WARC-Record-ID: {_identity(chunk['page_id'], chunk['row'])}",
+        f"WARC-Record-ID: {_identity(chunk['page_id'], chunk['payload_digest'])}",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {url}",
         f"WARC-Payload-Digest: sha256:{chunk['payload_digest']}",
@@ -90,7 +89,7 @@ def _header(chunk: dict) -> tuple[bytes, int]:
         f"Content-Length: {len(http) + follows}",
     ]
     if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_identity(chunk['refers_to'], chunk['refers_row'])}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_identity(chunk['refers_to'], chunk['payload_digest'])}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http, follows
 
 
@@ -133,8 +132,8 @@ class ArchiveWriter:
 def write(chunks: DataFrame, folder: str) -> DataFrame:
     """Write a chunk table as archives under `folder`; (archive, n_records) of each.
 
-    Chunks of a record go to one archive, in order; records are dealt by a hash of
-    their row, so equal pages are spread.
+    The rows of a record follow each other in a partition, as `chunk_table` gives
+    them; each partition becomes an archive, without another shuffle.
     """
     system, root = place(folder)
     system.create_dir(root, recursive=True)
@@ -150,9 +149,8 @@ def write(chunks: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([writer.path]), pa.array([writer.n_records], pa.int64())], names=["part", "archive", "n_records"])
 
     names = chunks.columns
-    line = chunks.repartition("row").sortWithinPartitions("row", "chunk_no")
     # Names and counts of the archives reach the driver, one row each.
-    done = sorted(map(tuple, line.mapInArrow(run, "part int, archive string, n_records bigint").collect()))
+    done = sorted(map(tuple, chunks.mapInArrow(run, "part int, archive string, n_records bigint").collect()))
     return chunks.sparkSession.createDataFrame(done, "part int, archive string, n_records bigint")
 
 

@@ -69,13 +69,13 @@ def test_archives_are_plain_warc(spark, tmp_path):
     assert sum(a["n_records"] for a in archives) == len(PAGES)
     text = b"".join(gzip.open(a["archive"]).read() for a in archives)
     ids = set(re.findall(rb"WARC-Record-ID: (\S+)", text))
-    assert len(ids) == len(PAGES) and set(re.findall(rb"WARC-Refers-To: (\S+)", text)) <= ids
+    assert len(ids) == len({p[::2] for p in PAGES}) and set(re.findall(rb"WARC-Refers-To: (\S+)", text)) <= ids
     assert text.count(b"WARC/1.1\r\nWARC-Type: ") == len(PAGES) and text.count(b"WARC-Type: revisit") == 4
 
 
 def test_damage_is_noticed(tmp_path):
     writer = W.ArchiveWriter(str(tmp_path))
-    chunk = dict(row=1, page_id=1, url="u", record_type="response", refers_to=None, payload_bytes=10, payload_digest="0", chunk_no=0, data=b"12345")
+    chunk = dict(page_id=1, url="u", record_type="response", refers_to=None, payload_bytes=10, payload_digest="0", chunk_no=0, data=b"12345")
     writer.add(chunk)
     with pytest.raises(ValueError):
         writer.close()
