@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasador.llm import decontam, mixing, quality, simhash, tokencount, tokenfile, toxicity, warc
+from tasador.llm import decontam, langid, mixing, quality, simhash, tokencount, tokenfile, toxicity, warc
 from tasador.llm.common import prepared, table
 from tasador.llm.tokenizer import vocabulary_path
 
@@ -26,6 +26,12 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@register("op1_language_id")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 @register("op2_source_mixing", mixing.SQL)
 def op2(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
