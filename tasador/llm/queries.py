@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tasador.llm import decontam, langid, mixing, quality, simhash, tokencount, tokenfile, toxicity, warc
+from tasador.llm import chat, decontam, langid, mixing, quality, simhash, tokencount, tokenfile, toxicity, warc
 from tasador.llm.common import prepared, table
 from tasador.llm.tokenizer import vocabulary_path
 
@@ -44,6 +45,13 @@ def op3(spark, sf_dir):
     return quality.verdicts(docs, weights)
 
 
+@register("op4_chat_perspectives", chat.SQL)
+def op4(spark, sf_dir):
+    out = chat.dialogues(chat.segments(table(spark, sf_dir, "conversations")))
+    pairs = F.transform("mask", lambda m: F.concat_ws("-", m.cast("array<string>")))
+    return out.withColumn("mask", F.array_join(pairs, ","))
+
+
 _SHINGLES = """SELECT DISTINCT id, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS s
     FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM (
         SELECT {id} AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}))"""

@@ -15,8 +15,8 @@ GROUP_CHARS = 1 << 18
 WORDS_KEPT = 500_000
 WORDS_AT_ONCE = 20_000
 
-# White space that is more than a single space or line end.
-_WIDE = re.compile(r"\s\s|[^\S \n]")
+# White space that is more than a single space or line end, or a space at the end.
+_WIDE = re.compile(r"\s\s|[^\S \n]| \Z")
 
 
 def vocabulary_path(name: str) -> str:
@@ -136,17 +136,16 @@ class Encoder:
         """Remember the ids of words; those that begin with a line end stand for themselves, the others for a space and the word."""
         if len(self.words) > WORDS_KEPT:
             self.words, self.older = {}, self.words
-        known, old = self.words, self.older
-        new = []
-        for word in words:
-            if word not in known:
-                if word in old:
-                    known[word] = old[word]
-                else:
-                    new.append(word)
+        self.words[""] = b""  # before the line end in front
+        known = self.words
+        new = words.difference(known)
+        again = new.intersection(self.older)
+        known.update(zip(again, map(self.older.__getitem__, again)))
+        new -= again
         # A full stop or comma after a letter is a piece of its own: such words need only the word before it.
         bases = {w[:-1] for w in new if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
-        todo = bases.union(w for w in new if w[:-1] not in bases or w[-1:] not in (".", ",")).difference(known)
+        todo = bases.union(w for w in new if w[-1:] not in (".", ",") or w[:-1] not in bases).difference(known)
+        todo.discard("")
         spaced = self._together([w for w in todo if w[:1] != "\n"], " ")
         lined = self._together([w[1:] for w in todo if w[:1] == "\n"], "\n")
         known.update(spaced)
@@ -161,11 +160,11 @@ class Encoder:
         if not self.by_word:
             return [self._ids(t) for t in texts]
         # Texts whose white space is single spaces and line ends; the others are encoded by the library as they are.
-        plain = [not _WIDE.search(t) for t in texts]
-        split = [t.replace("\n", " \n").split(" ") if p else None for t, p in zip(texts, plain)]
-        self._learn({w for pieces in split if pieces for w in pieces[1:]})
-        get = self.words.__getitem__
-        return [b"".join([self._ids(pieces[0]), *map(get, pieces[1:])]) if pieces else self._ids(t) for t, pieces in zip(texts, split)]
+        # A line end is put in front, so that the first word is one that follows a line end, and its id is taken off.
+        split = [None if _WIDE.search(t) else f"\n{t}".replace("\n", " \n").split(" ") for t in texts]
+        self._learn(set().union(*filter(None, split)))
+        get, size = self.words.__getitem__, self.kind.itemsize
+        return [b"".join(map(get, pieces))[size:] if pieces else self._ids(t) for t, pieces in zip(texts, split)]
 
 
 @lru_cache(maxsize=4)
