@@ -9,14 +9,21 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 GROUP_CHARS = 1 << 18
 """Characters encoded in one call; the library keeps some hundred bytes per token until it returns."""
-WORDS_KEPT = 500_000
+WORDS_KEPT = 800_000
+WORD_CHARS = 1 << 21
+"""Characters put together from words in one go."""
 WORDS_AT_ONCE = 20_000
 
-# White space that is more than a single space or line end, or a space at the end.
-_WIDE = re.compile(r"\s\s|[^\S \n]| \Z")
+# White space other than single spaces and line ends within a text.
+_WIDE = ("  ", "\n\n", " \n", "\n ")
+ODD = b"?"
+"""Stands for a word with other white space; half an id, so that it cannot be taken for one."""
+_ODD = re.compile(r"[^\S\n]|.\n")
 
 
 def vocabulary_path(name: str) -> str:
@@ -102,8 +109,7 @@ class Encoder:
         self.path, self.model = path, load(path)
         size = self.model.vocab_size() if path.endswith(".model") else self.model.get_vocab_size(True)
         self.kind = np.dtype("<u4" if size > 1 << 16 else "<u2")
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}  # the empty one is before the line end in front
         self.by_word = False
         if path.endswith(".json") and splits_at_spaces(path):
             vocabulary = self.model.get_vocab(True)
@@ -112,11 +118,12 @@ class Encoder:
             space, line = self._ids(" a"), self._ids("a\nb")
             self.by_word = bool(self.opens[np.frombuffer(space, self.kind)[0]]) and len(line) == 3 * self.kind.itemsize
             self.line = line[self.kind.itemsize : -self.kind.itemsize]
+            self.marks = {m: self._ids("a" + m)[self.kind.itemsize :] for m in (".", ",")}
 
     def _ids(self, text: str) -> bytes:
         if self.path.endswith(".model"):
             return np.array(self.model.encode(text), self.kind).tobytes()
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
 
     def _together(self, words: list[str], mark: str) -> dict[str, bytes]:
         """The ids of words that have no white space: `mark` is a space, which opens each word's ids, or a line end, which parts them."""
@@ -132,39 +139,62 @@ class Encoder:
                 out.update((w, self._ids(mark + w)) for w in part)
         return out
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Remember the ids of words; those that begin with a line end stand for themselves, the others for a space and the word."""
-        if len(self.words) > WORDS_KEPT:
-            self.words, self.older = {}, self.words
-        self.words[""] = b""  # before the line end in front
         known = self.words
-        new = words.difference(known)
-        again = new.intersection(self.older)
-        known.update(zip(again, map(self.older.__getitem__, again)))
-        new -= again
         # A full stop or comma after a letter is a piece of its own: such words need only the word before it.
-        bases = {w[:-1] for w in new if w[-1:] in (".", ",") and w[-2:-1].isalpha()}
-        todo = bases.union(w for w in new if w[-1:] not in (".", ",") or w[:-1] not in bases).difference(known)
-        todo.discard("")
-        spaced = self._together([w for w in todo if w[:1] != "\n"], " ")
-        lined = self._together([w[1:] for w in todo if w[:1] == "\n"], "\n")
-        known.update(spaced)
-        known.update(("\n" + w, ids) for w, ids in lined.items())
-        marks = {m: self._ids("a" + m)[self.kind.itemsize :] for m in (".", ",")}
-        for w in new:
-            if w not in known:
-                known[w] = known[w[:-1]] + marks[w[-1]]
+        marked = [w for w in new if w[-1:] in (".", ",") and w[-2:-1].isalpha()]
+        bases = {w[:-1] for w in marked if w[:-1] not in known}
+        todo = bases.union(new).difference(marked).union(bases)
+        odd = {w for w in todo if _ODD.search(w)}
+        todo -= odd
+        known.update(dict.fromkeys(odd, ODD))
+        known.update(self._together([w for w in todo if w[:1] != "\n"], " "))
+        known.update(("\n" + w, ids) for w, ids in self._together([w[1:] for w in todo if w[:1] == "\n"], "\n").items())
+        for w in marked:
+            base = known[w[:-1]]
+            known[w] = ODD if base is ODD else base + self.marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian numbers of `kind`."""
         if not self.by_word:
             return [self._ids(t) for t in texts]
-        # Texts whose white space is single spaces and line ends; the others are encoded by the library as they are.
-        # A line end is put in front, so that the first word is one that follows a line end, and its id is taken off.
-        split = [None if _WIDE.search(t) else f"\n{t}".replace("\n", " \n").split(" ") for t in texts]
-        self._learn(set().union(*filter(None, split)))
-        get, size = self.words.__getitem__, self.kind.itemsize
-        return [b"".join(map(get, pieces))[size:] if pieces else self._ids(t) for t, pieces in zip(texts, split)]
+        return [ids for group in grouped(texts, WORD_CHARS) for ids in self._by_word(group)]
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        # Texts with wider white space are encoded by the library as they are.  In the others a line end
+        # is put in front, so that the first word is one that follows a line end, and its id is taken off.
+        plain = [t[-1:] != " " and not any(x in t for x in _WIDE) for t in texts]
+        lines = pc.replace_substring(pa.array([f"\n{t}" if p else "" for t, p in zip(texts, plain)], pa.string()), "\n", " \n")
+        pieces = pc.split_pattern(lines, " ")
+        coded = pieces.flatten().dictionary_encode()
+        if len(self.words) > WORDS_KEPT:
+            self.words = {"": b""}
+        words = coded.dictionary.to_pylist()
+        raw = list(map(self.words.get, words))
+        new = [i for i, r in enumerate(raw) if r is None]
+        self._learn([words[i] for i in new])
+        for i in new:
+            raw[i] = self.words[words[i]]
+        size = self.kind.itemsize
+        length = np.fromiter(map(len, raw), np.int64, len(raw))
+        odd = np.flatnonzero(length % size)
+        for i in odd.tolist():
+            raw[i] = b""
+        length //= size
+        ids, first = np.frombuffer(b"".join(raw), self.kind), np.cumsum(length) - length
+        place = coded.indices.to_numpy()
+        count = length[place]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        out = ids[np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], count)].tobytes()
+        edges = pieces.offsets.to_numpy()
+        if len(odd):
+            strange = np.zeros(len(raw), bool)
+            strange[odd] = True
+            bad = np.concatenate([[0], np.cumsum(strange[place])])[edges]
+            plain = [p and not b for p, b in zip(plain, np.diff(bad).tolist())]
+        at = (ends[edges] * size).tolist()
+        return [out[a + size : b] if p else self._ids(t) for t, p, a, b in zip(texts, plain, at, at[1:])]
 
 
 @lru_cache(maxsize=4)
