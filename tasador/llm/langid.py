@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from tasador.llm.common import held_out, map_arrow, stored
 
 UNKNOWN = "und"
-SAMPLE = 1_500
-"""Training documents of a language at most: those whose ids have the smallest hashes."""
+SAMPLE = 1_000
+"""Training documents of a language at most: those whose ids have the smallest hashes.  Up to this number
+Spark cuts the ranking off in every input partition, so that a frequent language is no hot key."""
+BROADCAST_IDS = 1_000_000
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PRIOR = 0.5
@@ -223,7 +225,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     known = known.filter(~held_out(F.col("doc_id")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = known.select("doc_id", "lang").distinct().withColumn("rank", rank).filter(F.col("rank") <= sample)
-    ids = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+    ids = stored(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")), "language-ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     chosen = stored(known.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text"), "language-sample")
 
     def rows(batch: pa.RecordBatch) -> dict:
