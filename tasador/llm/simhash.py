@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tasador.llm.common import map_arrow, stored
 from tasador.llm.components import components
@@ -102,19 +104,53 @@ def links(distinct: DataFrame, max_distance: int = 2, spare: int = 3, crowd: int
     return pairs.unionByName(stars).distinct()
 
 
+def grouped(own: DataFrame, max_distance: int = 2) -> DataFrame:
+    """`own` (doc_id, fp) with `root`, one fingerprint that stands for the group, and `component_id`, its smallest doc_id.
+
+    Equal fingerprints are folded to one before any search, so a group of exact
+    copies costs a row.
+    """
+    folded = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = components(links(folded.select("fp"), max_distance)).withColumnRenamed("node", "fp")
+    placed = folded.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    groups = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    return own.join(placed.join(groups, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for every row of `docs`.
 
     `fingerprint`: 16 lower-case hex digits.  `component_id`: the smallest doc_id
     reached over links of at most `max_distance` differing bits, the row's own
-    included; null only if no row of the group has an id.  Equal fingerprints
-    are folded to one before any search, so a group of exact copies costs a row.
-    Of `docs` only the id and text are read; other columns may have any name.
+    included; null only if no row of the group has an id.  Of `docs` only the id and
+    text are read; other columns may have any name.
     """
     own = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
-    folded = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(folded.select("fp"), max_distance)).withColumnRenamed("node", "fp")
-    placed = folded.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(groups, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return grouped(own, max_distance).select("doc_id", hexed, "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
+    """One row of every near-duplicate group, with all columns of `docs`: that of the smallest doc_id.
+
+    Of rows that share this id, those with the smallest fingerprint are looked at
+    and the row with the smallest hash over all columns stays.  Of a group without
+    ids a row is chosen in the same way.  Groups are settled on ids and
+    fingerprints; whole rows are shuffled once, by both.
+    """
+    own = stored(fingerprints(docs, shingle), "fingerprints")
+    found = grouped(own, max_distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keys = found.groupBy("root").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("id"))
+    keys = keys.select(F.coalesce("id", F.lit(0)).alias("k_id"), F.col("id").isNull().alias("k_null"), F.col("fp").alias("k_fp"))
+    whole = F.struct(*[F.col(f"`{n}`") for n in docs.columns])
+    packed = docs.select(whole.alias("whole"), F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
+    schema = StructType([packed.schema["whole"], packed.schema["id"], StructField("fp", LongType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = pa.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], names=["whole", "id", "fp"])
+
+    rows = packed.mapInArrow(add, schema).select("whole", F.coalesce("id", F.lit(0)).alias("k_id"), F.col("id").isNull().alias("k_null"), F.col("fp").alias("k_fp"))
+    key = ["k_id", "k_null", "k_fp"]
+    return rows.join(keys, key, "left_semi").groupBy(*key).agg(F.min_by("whole", F.xxhash64("whole")).alias("whole")).select("whole.*")
