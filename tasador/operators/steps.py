@@ -23,13 +23,3 @@ def counted(df: DataFrame, step: str, counts: Mapping[str, Observation] | None =
     if counts and step in counts:
         return df.observe(counts[step], rows)
     return df.observe(f"{step} {next(_number)}", rows)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of an input of fewer files than cores, so that heavy rules run on all of them.
-
-    An input of many files, or one not read from files, is left as it is: no
-    exchange is added where the data is large.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df._jdf.inputFiles()) < cores else df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,22 +37,19 @@ def build_session(app_name: str = "tasador", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir` of the session.
+    """Folder every executor can reach: `spark.checkpoint.dir` of the session, else the one the program has set.
 
-    Only a local master may go without the setting; it then gets a fresh
-    temporary folder, because there driver and executors share one disk.
+    Only a local master may go without either; it then gets a fresh temporary
+    folder, because there driver and executors share one disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if configured or context.getCheckpointDir():
+        return configured or context.getCheckpointDir()
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tasador-"))
-        current = context.getCheckpointDir()
-    return current
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tasador-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
