@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from checks.registry import register
 from checks.silver_queries import ROW, c, cap, tok
-from checks.views import AS_OF, cte, table, view
+from checks.views import AS_OF, SITE_TEXT, cte, table, view
 from tasador import schemas
 from tasador.functions import fields
 from tasador.operators import bronze as B
@@ -222,7 +224,7 @@ def ext_carmarket_row(spark, sf_dir):
     return sites.carmarket(df, AS_OF)
 
 
-_GEAR = "CASE WHEN contains(upper(gear), 'DSG') OR contains(upper(gear), 'TRONIC') THEN 'Automática' WHEN contains(gear, 'Manual') THEN 'Manual' WHEN gear = 'manual 6 vel' THEN 'Manual 6 Vel' ELSE gear END"
+_GEAR = "CASE WHEN contains(gear, 'Manual') THEN 'Manual' WHEN contains(upper(gear), 'DSG') OR contains(upper(gear), 'TRONIC') THEN 'Automática' WHEN gear = 'manual 6 vel' THEN 'Manual 6 Vel' ELSE gear END"
 
 
 @register(
@@ -350,7 +352,7 @@ ficha_rule(
 )
 def ext_required_fields(spark, sf_dir):
     df = _fichas(spark, sf_dir).withColumn("year", fields.year_after_bar(c("market_features")))
-    return df.dropna(subset=["year"]).filter("spans is not null").select(*ROW)
+    return sites.with_required(df, "year", "spans").select(*ROW)
 
 
 @register("ext_drop_float_tail", "SELECT l_orderkey, l_linenumber, string_split(CAST(l_quantity AS VARCHAR), '.')[1] AS quantity FROM lineitem")
@@ -363,7 +365,7 @@ def ext_drop_float_tail(spark, sf_dir):
     "SELECT p_partkey, upper(substr(p_name, 1, 1)) || substr(split_part(p_name, ' ', 1), 2) || ' ' || upper(substr(split_part(p_name, ' ', 2), 1, 1)) || substr(split_part(p_name, ' ', 2), 2) AS name FROM part",
 )
 def ext_initcap(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", F.initcap("p_name").alias("name"))
+    return table(spark, sf_dir, "part").select("p_partkey", fields.title_case(c("p_name")).alias("name"))
 
 
 @register("ext_stamp", f"SELECT l_orderkey, l_linenumber, {_stamped('TuKm0', 'Profesional')} FROM lineitem")
@@ -438,38 +440,40 @@ def _scratch(spark):
     return f"{shared_dir(spark).rstrip('/')}/check-{uuid.uuid4().hex}"
 
 
+_TABLES = {site: f"tb_check_{re.sub('[^a-z0-9]', '', site.lower())}task" for site in SITE_TEXT}
+_TABLE_SQL = "CASE \"Web\" " + " ".join(f"WHEN '{site}' THEN '{name}'" for site, name in _TABLES.items()) + " END"
+
+
 def _site_tables(spark, sf_dir):
+    """One table per site; one site's table lacks a column it never fills."""
     df = view(spark, sf_dir, "bronze").select(*schemas.BRONZE.names)
-    df.filter(c("Web") == "Carplus").createOrReplaceTempView("tb_check_carplustask")
-    df.filter(c("Web") == "TuKm0").drop("PublicacionAnyo").createOrReplaceTempView("tb_check_km0task")
-    df.filter(c("Web") == "MotorES").createOrReplaceTempView("tb_check_motores")
+    for site, name in _TABLES.items():
+        own = df.filter(c("Web") == site)
+        (own.drop("PublicacionAnyo") if site == "TuKm0" else own).createOrReplaceTempView(name)
+    df.filter(c("Web") == "MotorES").createOrReplaceTempView("tb_check_other")
 
 
-@register("src_table", f"{cte('bronze')} SELECT {_B} FROM bronze WHERE \"Web\" = 'Carplus'")
+@register("src_table", f"{cte('bronze')} SELECT {_B} FROM bronze")
 def src_table(spark, sf_dir):
     _site_tables(spark, sf_dir)
-    return tables.read_table(spark, "tb_check_carplustask")
+    return reduce(B.union_batches, [tables.read_table(spark, name) for name in _TABLES.values()])
 
 
-@register("src_bootstrap", f"{cte('bronze')} SELECT {_B} FROM bronze WHERE \"Web\" = 'Carplus'")
+@register("src_bootstrap", f"{cte('bronze')} SELECT {_B} FROM bronze")
 def src_bootstrap(spark, sf_dir):
     _site_tables(spark, sf_dir)
-    empty = tables.read_or_empty(spark, "tb_check_missingtask", schemas.BRONZE)
-    return B.union_batches(empty, tables.read_or_empty(spark, "tb_check_carplustask", schemas.BRONZE))
+    names = ["tb_check_missingtask", *_TABLES.values()]
+    return reduce(B.union_batches, [tables.read_or_empty(spark, name, schemas.BRONZE) for name in names])
 
 
-@register("src_discover", f"{cte('bronze')} SELECT 'tb_check_carplustask' AS name, count(*) AS n FROM bronze WHERE \"Web\" = 'Carplus' UNION ALL SELECT 'tb_check_km0task', count(*) FROM bronze WHERE \"Web\" = 'TuKm0'")
+@register("src_discover", f"{cte('bronze')} SELECT {_TABLE_SQL} AS name, count(*) AS n FROM bronze GROUP BY 1")
 def src_discover(spark, sf_dir):
     _site_tables(spark, sf_dir)
     names = tables.discover(spark, r"^tb_check_.*task$")
     return S.row_counts({n: spark.read.table(n) for n in names}).select(c("step").alias("name"), c("rows").alias("n"))
 
 
-@register(
-    "src_multi_union",
-    f"""{cte('bronze')} SELECT {_B} FROM bronze WHERE "Web" = 'Carplus' AND "ExtractedDate" >= DATE '2024-01-01' UNION ALL
-    SELECT * REPLACE (CAST(NULL AS VARCHAR) AS "PublicacionAnyo") FROM (SELECT {_B} FROM bronze WHERE "Web" = 'TuKm0' AND "ExtractedDate" >= DATE '2024-01-01')""",
-)
+@register("src_multi_union", f"{cte('bronze')} SELECT {_B} FROM bronze WHERE \"ExtractedDate\" >= DATE '2024-01-01'")
 def src_multi_union(spark, sf_dir):
     _site_tables(spark, sf_dir)
     return tables.read_recent(spark, tables.discover(spark, r"^tb_check_.*task$"), "2024-01-01").select(*schemas.BRONZE.names)
@@ -492,7 +496,7 @@ def src_excel_dim(spark, sf_dir):
 
 @register("src_rows_schema", f"{cte('price_list')} SELECT \"Brand\", \"Model\", \"CV\", \"Fuel\", \"Price\", \"Features\", \"Segment\", \"StarDate\", \"EndDate\" FROM price_list")
 def src_rows_schema(spark, sf_dir):
-    return S.typed(view(spark, sf_dir, "price_list"), schemas.PRICE_LIST)
+    return tables.typed_rows(spark, S.typed(view(spark, sf_dir, "price_list"), schemas.PRICE_LIST).rdd, schemas.PRICE_LIST)
 
 
 @register(
@@ -507,18 +511,17 @@ def snk_merge_schema(spark, sf_dir):
     return sinks.read_current(spark, folder)
 
 
-@register("snk_overwrite_schema", f"{cte('bronze')}, {_BOTH} SELECT \"Web\" AS site, count(*) AS n FROM new GROUP BY 1")
+@register("snk_overwrite_schema", f"{cte('bronze')} SELECT \"Web\" AS site, count(*) AS n FROM bronze GROUP BY 1")
 def snk_overwrite_schema(spark, sf_dir):
     folder = _scratch(spark)
-    old, new = _batches(spark, sf_dir)
-    sinks.overwrite(old, folder)
-    sinks.overwrite(new.groupBy(c("Web").alias("site")).agg(F.count(F.lit(1)).alias("n")), folder)
+    df = view(spark, sf_dir, "bronze").select(*schemas.BRONZE.names)
+    sinks.overwrite(df, folder)
+    sinks.overwrite(df.groupBy(c("Web").alias("site")).agg(F.count(F.lit(1)).alias("n")), folder)
     return sinks.read_current(spark, folder)
 
 
-@register("snk_plain", f"{cte('bronze')}, {_BOTH} SELECT {_B} FROM new")
+@register("snk_plain", f"{cte('bronze')} SELECT {_B} FROM bronze")
 def snk_plain(spark, sf_dir):
     folder = _scratch(spark)
-    sinks.overwrite(_batches(spark, sf_dir)[1], folder)
+    sinks.overwrite(view(spark, sf_dir, "bronze").select(*schemas.BRONZE.names), folder)
     return sinks.read_current(spark, folder)
-

@@ -180,7 +180,7 @@ FROM part
 SEGMENT_HISTORY = f"""
 SELECT p_partkey AS seq, {_pick(f"({BN} % 10)", ["BMW", "VOLVO", "ALFAROMEO", "LANDROVER", "MAZDA", "CITROEN", "FORD", "SEAT", "KIA", "SKODA"])} AS "Marca",
   {_pick("(p_partkey % 5)", ["XC60", "3", "CHR", "LEON", "147"])} AS "Modelo_Cube", lower(p_type) AS "Segmento"
-FROM part WHERE p_size < 10
+FROM part
 """
 # Dictionary in the shape the silver job joins to.
 SEGMENT_SILVER = f"""
@@ -230,7 +230,7 @@ _DOTTED = (
 _FB = _pick("(l_partkey % 8)", ["Audi", "TOYOTA", "Land", "Mercedes", "Ducati", "BMW", "Citroën", "Silence"])
 _FM = _pick("((l_partkey + l_suppkey) % 7)", ["CLASE", "SERIE", "A3", "Nuevo", "LAND", "León", "Serie"])
 _FF = _pick("(l_orderkey % 7)", ["Gasolina", "Diesel", "Eléctrico", "Híbrido (enchufable)", "5 puertas", "híbrido", "GLP"])
-_FG = _pick("(l_suppkey % 6)", ["Manual", "Automática", "S tronic", "DSG 7", "manual 6 vel", "Automático"])
+_FG = _pick("(l_suppkey % 8)", ["Manual", "Automática", "S tronic", "DSG 7", "manual 6 vel", "Automático", "Manual S tronic", "Manual DSG"])
 _FK = "CAST(CAST(l_quantity AS INT) AS STRING) || '.' || lpad(CAST(l_partkey % 1000 AS STRING), 3, '0') || ' km'"
 _FP = "CASE WHEN l_orderkey % 13 = 0 THEN '85 kW' ELSE '85 kW (' || CAST(p_size * 5 AS STRING) || ' CV)' END"
 _FY = "CASE WHEN l_orderkey % 11 = 0 THEN '2014' ELSE '0' || CAST(l_linenumber AS STRING) || '/' || CAST(year(l_shipdate) + 15 AS STRING) END"

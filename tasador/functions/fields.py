@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -137,15 +139,20 @@ def gear_market(text: Column) -> Column:
 
 
 def gear_by_name(text: Column) -> Column:
-    """Manual by its word, automatic by a brand name of one; anything else stays."""
+    """Manual by its word, else automatic by a brand name of one; anything else stays."""
     upper = F.upper(text)
     return (
-        F.when(upper.contains("DSG") | upper.contains("TRONIC"), F.lit("Automática"))
-        .when(text.contains("Manual"), F.lit("Manual"))
+        F.when(text.contains("Manual"), F.lit("Manual"))
+        .when(upper.contains("DSG") | upper.contains("TRONIC"), F.lit("Automática"))
         .otherwise(text)
     )
 
 
+def title_case(text: Column) -> Column:
+    """Every word with a capital first letter, the rest in lower case."""
+    return F.initcap(text)
+
+
 def fuel_hybrid_label(text: Column) -> Column:
     return F.when(text.contains("(") | text.contains("Eléctrico"), F.lit("Electrico/hibrido")).otherwise(text)
 
@@ -171,10 +178,18 @@ def drop_first_word(text: Column) -> Column:
     return tokens_after(text, 1)
 
 
-def labelled(lines: Column, label: str) -> Column:
-    """The line after the first line that is exactly `label`."""
-    at = F.array_position(lines, F.lit(label))
-    return strip(F.when(at > 0, F.try_element_at(lines, (at + 1).cast("int"))))
+def after_labels(lines: Column, labels: Sequence[str]) -> Column:
+    """Map from each of `labels` to the line after the first line that is exactly it; one pass over the lines."""
+    pairs = F.transform(lines, lambda line, i: F.struct(line.alias("k"), F.get(lines, i + 1).alias("v")))
+    wanted = F.filter(pairs, lambda p: p["k"].isin(list(labels)))
+    # Few lines are labels, so looking for an earlier one of the same name among them is cheap.
+    first = F.filter(wanted, lambda p, i: ~F.exists(F.slice(wanted, F.lit(1), i), lambda q: q["k"] == p["k"]))
+    return F.map_from_entries(first)
+
+
+def labelled(found: Column, label: str) -> Column:
+    """The line after a label, from `after_labels`."""
+    return strip(found[label])
 
 
 def key_lines(text: Column) -> Column:

@@ -35,6 +35,11 @@ def project(df: DataFrame) -> DataFrame:
     return df.select(*[n for n in schemas.BRONZE.names if n in df.columns])
 
 
+def with_required(df: DataFrame, *names: str) -> DataFrame:
+    """Only listings that have every one of the fields."""
+    return df.dropna(subset=list(names))
+
+
 def _all(*columns: Column) -> Column:
     return reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
 
@@ -91,7 +96,7 @@ def carmarket(df: DataFrame, as_of, site: str = "CarMarket") -> DataFrame:
         features.alias("Caracteristicas"),
         fields.no_float_tail(number(drop_text(F.col("kms"), "km")).cast("bigint")).alias("Kms"),
         fields.no_float_tail(number(drop_text(F.col("price"), "€", ".")).cast("bigint")).alias("Precio"),
-        F.initcap("fuel").alias("Combustible"),
+        fields.title_case(F.col("fuel")).alias("Combustible"),
         F.col("gear").alias("Caja"),
         fields.no_float_tail(number(drop_text(F.col("power"), " CV")).cast("bigint")).alias("Cilindrada"),
         fields.year_after_bar(features).alias("AnyoMatriculacion"),
@@ -100,7 +105,7 @@ def carmarket(df: DataFrame, as_of, site: str = "CarMarket") -> DataFrame:
         F.lit(fields.TRADE).alias("Venta"),
         F.col("link").alias("Links"),
     )
-    out = out.filter(~F.col("Marca").isin(fields.SKIPPED_BRANDS)).dropna(subset=["AnyoMatriculacion", "Modelo", "Caja"])
+    out = out.filter(~F.col("Marca").isin(fields.SKIPPED_BRANDS)).transform(with_required, "AnyoMatriculacion", "Modelo", "Caja")
     out = out.withColumn("Caja", fields.gear_market(F.col("Caja")))
     return project(stamp(out, site, as_of, day_only=True))
 
@@ -115,14 +120,14 @@ def carplus(df: DataFrame, as_of, site: str = "Carplus") -> DataFrame:
         strip(drop_text(F.col("kms"), "km")).alias("Kms"),
         fields.price(F.col("price")).alias("Precio"),
         strip(F.col("fuel")).alias("Combustible"),
-        F.initcap(fields.gear_by_name(strip(F.col("gear")))).alias("Caja"),
+        fields.title_case(fields.gear_by_name(strip(F.col("gear")))).alias("Caja"),
         power.alias("Cilindrada"),
         F.col("year").alias("AnyoMatriculacion"),
         F.lit(fields.PLACE_PALMAS).alias("Provincia"),
         fields.financed_by_label(F.col("label")).alias("Financiado"),
         F.col("link").alias("Links"),
     )
-    return project(stamp(out.dropna(subset=["Modelo", "Cilindrada"]).distinct(), site, as_of, sale=fields.TRADE))
+    return project(stamp(with_required(out, "Modelo", "Cilindrada").distinct(), site, as_of, sale=fields.TRADE))
 
 
 # Labels of a listing's fields; fixed values.
@@ -141,13 +146,15 @@ LABELS = {
 
 def labelled_fields(df: DataFrame, text: str) -> DataFrame:
     """Bronze fields from "Label:" lines followed by their value; of two labels the first present counts."""
-    # The lines are split once, as a column of their own; the fields then only look values up.
-    df = df.withColumn("_lines", tokens(F.col(text), "\n"))
+    # The counters keep the steps apart: the lines are split once and read once, the fields look values up.
+    wanted = [f"{label}:" for labels in LABELS.values() for label in labels]
+    df = counted(df.withColumn("_lines", tokens(F.col(text), "\n")), "lines")
+    df = counted(df.withColumn("_found", fields.after_labels(F.col("_lines"), wanted)), "found")
     found = {
-        name: F.coalesce(*[fields.labelled(F.col("_lines"), f"{label}:") for label in labels])
+        name: F.coalesce(*[fields.labelled(F.col("_found"), f"{label}:") for label in labels])
         for name, labels in LABELS.items()
     }
-    return counted(df.withColumns(found).drop("_lines"), "labelled").dropna(subset=list(LABELS))
+    return with_required(counted(df.withColumns(found).drop("_lines", "_found"), "labelled"), *LABELS)
 
 
 def keyed_fields(df: DataFrame, text: str, financed_key: str | None = None) -> DataFrame:
@@ -157,7 +164,7 @@ def keyed_fields(df: DataFrame, text: str, financed_key: str | None = None) -> D
     found = {name: fields.last_of(F.col("_lines"), keys) for name, keys in synonyms.items()}
     flag = fields.has_key(F.col("_lines"), financed_key) if financed_key else F.lit(False)
     df = df.withColumns({**found, "Financiado": fields.financed(flag)}).drop("_lines")
-    return counted(df, "keyed").dropna(subset=list(LABELS))
+    return with_required(counted(df, "keyed"), *LABELS)
 
 
 def km0(df: DataFrame, as_of, site: str = "TuKm0") -> DataFrame:
@@ -217,7 +224,7 @@ def motores(df: DataFrame, as_of, site: str = "MotorES") -> DataFrame:
         fields.seller(F.col("vendor")).alias("Venta"),
         F.col("link").alias("Links"),
     )
-    out = out.dropna(subset=["Modelo", "Caracteristicas", "Kms", "Precio", "fuel", "Cilindrada", "AnyoMatriculacion"])
+    out = with_required(out, "Modelo", "Caracteristicas", "Kms", "Precio", "fuel", "Cilindrada", "AnyoMatriculacion")
     out = out.filter(~F.col("fuel").contains("puertas")).distinct()
     out = out.withColumns(
         {
@@ -228,6 +235,3 @@ def motores(df: DataFrame, as_of, site: str = "MotorES") -> DataFrame:
         }
     )
     return project(stamp(out, site, as_of))
-
-
-
