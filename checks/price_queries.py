@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -145,10 +146,19 @@ def prc_publish_known(spark, sf_dir):
     return P.build_price_list(view(spark, sf_dir, "price_raw"), _merged(spark, sf_dir), AS_OF, ("p_partkey",))[1]
 
 
-@register("prc_unicode_norm", f'{cte("price_raw")} SELECT p_partkey, nfc_normalize("Modelo") AS model, strip_accents("Modelo") AS letters FROM price_raw')
+# Compatibility forms, which plain decomposition would leave as they are, in front of every name.
+_COMPATIBLE = {"ﬁ": "fi", "Ⅳ": "IV", "²": "2", "Ｇ": "G", "½": "1⁄2", "…": "..."}
+
+
+@register(
+    "prc_unicode_norm",
+    f"""{cte("price_raw")} SELECT p_partkey, nfc_normalize("Modelo") AS model, list_extract({list(_COMPATIBLE.values())}, CAST(p_partkey % {len(_COMPATIBLE)} AS INT) + 1) || strip_accents("Modelo") AS letters
+    FROM price_raw""",
+)
 def prc_unicode_norm(spark, sf_dir):
     # The SQL side composes again, so the decomposed text is checked through its letters and its composed form.
-    df = view(spark, sf_dir, "price_raw").select("p_partkey", c("Modelo").alias("model"), nfkd(c("Modelo")).alias("d"))
+    sign = F.element_at(F.array(*map(F.lit, _COMPATIBLE)), (c("p_partkey") % len(_COMPATIBLE)).cast("int") + 1)
+    df = view(spark, sf_dir, "price_raw").select("p_partkey", c("Modelo").alias("model"), nfkd(F.concat(sign, c("Modelo"))).alias("d"))
     return df.select("p_partkey", "model", F.regexp_replace("d", r"\p{Mn}", "").alias("letters"))
 
 
@@ -171,25 +181,26 @@ def txt_bag(spark, sf_dir):
 _WORD = "regexp_replace(coalesce(string_split(t, '/')[2], t), '[^A-Za-z0-9]', '', 'g')"
 
 
-@register(
-    "dic_keywords",
-    f"""{cte('price_list')}, w AS (SELECT "Brand", "Model", unnest({_bag_sql("coalesce(\"Features\", '-')", 3)}) AS t FROM price_list),
+_KEYWORD_CTES = f"""w AS (SELECT "Brand", "Model", unnest({_bag_sql("coalesce(\"Features\", '-')", 3)}) AS t FROM price_list),
     k AS (SELECT DISTINCT "Brand", "Model", {_WORD} AS word FROM w), ok AS (SELECT * FROM k WHERE length(word) >= 3 AND NOT regexp_matches(word, '[0-9]')),
-    b AS (SELECT DISTINCT "Brand", "Model" FROM price_list)
-    SELECT b."Brand", b."Model", coalesce(string_agg(word, ' ' ORDER BY word), '') AS words FROM b LEFT JOIN ok ON b."Brand" = ok."Brand" AND b."Model" = ok."Model" GROUP BY 1, 2""",
-)
+    b AS (SELECT DISTINCT "Brand", "Model" FROM price_list)"""
+_KEYWORDS = """SELECT b."Brand", b."Model", coalesce(string_agg(word, ' ' ORDER BY word), '') AS words
+    FROM b LEFT JOIN ok ON b."Brand" = ok."Brand" AND b."Model" = ok."Model" GROUP BY 1, 2"""
+
+
+@register("dic_keywords", f"{cte('price_list')}, {_KEYWORD_CTES} {_KEYWORDS}")
 def dic_keywords(spark, sf_dir):
     df = D.keywords(view(spark, sf_dir, "price_list"))
     return df.select("Brand", "Model", F.array_join("Words", " ").alias("words"))
 
 
-@register(
-    "dic_power",
-    f"""{cte('listing', 'price_list')}, o AS (SELECT DISTINCT {_alnum('"Brand"')} AS "Brand", {_alnum('"Model"')} AS "Model", "CV" FROM listing
-      WHERE "Province" = 'LAS PALMAS' AND "CV" IS NOT NULL)
-    SELECT "Brand", "Model", string_agg(CAST(CAST("CV" AS INT) AS VARCHAR), ' ' ORDER BY "CV") AS powers FROM o
-    WHERE "Model" IN (SELECT {_alnum('"Model"')} FROM price_list) GROUP BY 1, 2""",
-)
+_OFFERED = f"""SELECT DISTINCT {_alnum('"Brand"')} AS "Brand", {_alnum('"Model"')} AS "Model", "CV" FROM listing
+      WHERE "Province" = 'LAS PALMAS' AND "CV" IS NOT NULL"""
+_POWERS = f"""SELECT "Brand", "Model", string_agg(CAST(CAST("CV" AS INT) AS VARCHAR), ' ' ORDER BY "CV") AS powers FROM o
+    WHERE "Model" IN (SELECT {_alnum('"Model"')} FROM price_list) GROUP BY 1, 2"""
+
+
+@register("dic_power", f"{cte('listing', 'price_list')}, o AS ({_OFFERED}) {_POWERS}")
 def dic_power(spark, sf_dir):
     df = D.powers(view(spark, sf_dir, "listing"), view(spark, sf_dir, "price_list"))
     return df.select("Brand", "Model", F.array_join(F.transform("Powers", lambda v: v.cast("int").cast("string")), " ").alias("powers"))
@@ -197,12 +208,22 @@ def dic_power(spark, sf_dir):
 
 @register(
     "dic_save",
-    f"""{cte('price_list')} SELECT p_partkey, array_to_string({_bag_sql("coalesce(\"Features\", '-')")}, ' ') AS bags FROM price_list""",
+    f"""{cte('price_list', 'listing')}, {_KEYWORD_CTES}, o AS ({_OFFERED})
+    SELECT 'bags' AS saved, CAST(p_partkey AS VARCHAR) AS item, array_to_string({_bag_sql("coalesce(\"Features\", '-')")}, ' ') AS words FROM price_list
+    UNION ALL SELECT 'keywords', "Brand" || '/' || "Model", words FROM ({_KEYWORDS}) k
+    UNION ALL SELECT 'powers', "Brand" || '/' || "Model", powers FROM ({_POWERS}) p""",
 )
 def dic_save(spark, sf_dir):
     folder = f"{shared_dir(spark).rstrip('/')}/check-{uuid.uuid4().hex}"
     paths = D.save(view(spark, sf_dir, "price_list"), view(spark, sf_dir, "listing"), folder)
-    return spark.read.parquet(paths["bags"]).select("p_partkey", c("Bags").alias("bags"))
+    saved = {name: spark.read.parquet(path) for name, path in paths.items()}
+    item = F.concat("Brand", F.lit("/"), "Model").alias("item")
+    parts = [
+        saved["bags"].select(F.lit("bags").alias("saved"), c("p_partkey").cast("string").alias("item"), c("Bags").alias("words")),
+        saved["keywords"].select(F.lit("keywords"), item, F.array_join("Words", " ")),
+        saved["powers"].select(F.lit("powers"), item, F.array_join(F.transform("Powers", lambda v: v.cast("int").cast("string")), " ")),
+    ]
+    return reduce(lambda x, y: x.union(y), parts)
 
 
 @register(

@@ -389,7 +389,11 @@ def listing_filter(name, where, predicate, view_name="listing", columns=ROW):
         return view(spark, sf_dir, view_name).filter(predicate()).select(*columns)
 
 
-listing_filter("flt_recent", "\"ExtractedDate\" >= DATE '2024-01-01'", lambda: c("ExtractedDate") >= F.lit("2024-01-01").cast("date"), "bronze")
+@register("flt_recent", f"{cte('bronze')} SELECT l_orderkey, l_linenumber FROM bronze WHERE \"ExtractedDate\" >= DATE '2024-01-01'")
+def flt_recent(spark, sf_dir):
+    return S.recent(view(spark, sf_dir, "bronze"), "2024-01-01").select(*ROW)
+
+
 listing_filter(
     "flt_range",
     '"Price" BETWEEN 1000 AND 150000 AND "Kms" <= 1000000 AND "Registration" >= 1990',
@@ -411,8 +415,7 @@ listing_filter(
     "AnyoMatriculacion IS NOT NULL AND Provincia IS NOT NULL AND Combustible IS NOT NULL AND Caja IS NOT NULL AND Kms IS NOT NULL",
 )
 def flt_required(spark, sf_dir):
-    df = view(spark, sf_dir, "bronze")
-    return df.dropna(subset=["Marca", "Precio", "AnyoMatriculacion", "Provincia", "Combustible", "Caja", "Kms"]).select(*ROW)
+    return S.with_fields(S.rename_bronze(view(spark, sf_dir, "bronze"))).select(*ROW)
 
 
 # -- segments, keys, survivors --------------------------------------------
@@ -548,9 +551,9 @@ def dd_key_last(spark, sf_dir):
 @register("un_history", f"{cte('listing')}, {_OLD_NEW} SELECT batch, l_orderkey, l_linenumber, CASE WHEN batch = 1 THEN \"Sale\" END AS sale FROM hn")
 def un_history(spark, sf_dir):
     df = _listing(spark, sf_dir)
-    old = df.filter("l_linenumber <= 3").select(F.lit(0).alias("batch"), *ROW)
-    new = df.filter("l_linenumber >= 3").select(F.lit(1).alias("batch"), *ROW, c("Sale").alias("sale"))
-    return old.unionByName(new, allowMissingColumns=True)
+    old = df.filter("l_linenumber <= 3").select(*ROW)
+    new = df.filter("l_linenumber >= 3").select(*ROW, c("Sale").alias("sale"))
+    return S.with_history(new, old).withColumnRenamed("_batch", "batch")
 
 
 @register(

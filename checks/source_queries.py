@@ -277,7 +277,7 @@ _UNESCAPE = "replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&amp;', '
 )
 def ext_html_text(spark, sf_dir):
     nodes = pages.page_nodes(table(spark, sf_dir, "pages"), ["a", "h1"])
-    return nodes.select("page_id", "tag", "text", "href")
+    return nodes.select("page_id", F.explode("nodes").alias("n")).select("page_id", "n.tag", "n.text", "n.href")
 
 
 @register(
@@ -287,9 +287,9 @@ def ext_html_text(spark, sf_dir):
     CASE WHEN contains(html, '<dt>Cambio</dt>') THEN regexp_extract(html, '<dt>Cambio</dt><dd>([^<]*)<', 1) END AS gear FROM part_pages""",
 )
 def ext_dt_dd(spark, sf_dir):
-    terms = pages.term_values(pages.page_nodes(view(spark, sf_dir, "part_pages"), ["dt", "dd"]))
+    parsed = pages.page_nodes(view(spark, sf_dir, "part_pages"), ["dt", "dd"])
     t = c("terms")
-    return terms.select(
+    return parsed.withColumn("terms", pages.term_values(c("nodes"))).select(
         "page_id", t["Versión"].alias("version"), t["Matriculación"].alias("registered"), t["Potencia máxima"].alias("power"), t["Cambio"].alias("gear")
     )
 
@@ -315,24 +315,27 @@ FROM x WHERE NOT contains({_FUEL_PP}, 'puertas')"""
 
 @register("ext_motores_row", _MOTOR_SQL)
 def ext_motores_row(spark, sf_dir):
-    source = view(spark, sf_dir, "part_pages")
-    nodes = pages.page_nodes(source, ["h1", "strong", "dt", "dd", "dl", "span", "section"])
-
-    def text(tag):
-        return F.first(F.when(c("tag") == tag, c("text")), ignorenulls=True)
-
-    flat = nodes.groupBy("page_id").agg(
-        text("h1").alias("title"), text("strong").alias("price"), text("span").alias("place"), text("dl").alias("sheet"), text("section").alias("vendor")
-    )
-    df = flat.join(pages.term_values(nodes), "page_id").join(source.select("page_id", c("url").alias("link")), "page_id")
+    parsed = pages.page_nodes(view(spark, sf_dir, "part_pages"), ["h1", "strong", "dt", "dd", "dl", "span", "section"])
+    tags = {"title": "h1", "price": "strong", "place": "span", "sheet": "dl", "vendor": "section"}
+    texts = [pages.first_text(c("nodes"), tag).alias(name) for name, tag in tags.items()]
+    df = parsed.select(*texts, pages.term_values(c("nodes")).alias("terms"), c("url").alias("link"))
     return sites.motores(df, AS_OF)
 
 
 ficha_rule(
     "ext_value_maps",
     "CASE fuel WHEN 'Gasolina' THEN 'Gasolina' WHEN 'Diesel' THEN 'Diesel' WHEN 'Eléctrico' THEN 'Eléctrico' WHEN 'híbrido' THEN 'Híbrido' END AS fuel_motor, "
-    f"CASE {cap(tok('gear', 1))} WHEN 'S' THEN 'Automático' WHEN 'Manual' THEN 'Manual' WHEN 'Automática' THEN 'Automático' END AS gear_market",
-    lambda: [fields.mapped(c("fuel"), fields.FUEL_MOTOR).alias("fuel_motor"), fields.gear_market(c("gear")).alias("gear_market")],
+    f"CASE {cap(tok('gear', 1))} WHEN 'S' THEN 'Automático' WHEN 'Manual' THEN 'Manual' WHEN 'Automática' THEN 'Automático' END AS gear_market, "
+    "CASE gear WHEN 'Manual' THEN 'Manual' WHEN 'Automático' THEN 'Automático' END AS gear_motor, "
+    "CASE WHEN contains(gear, 'Manual') THEN 'Manual' WHEN contains(upper(gear), 'DSG') OR contains(upper(gear), 'TRONIC') THEN 'Automática' ELSE gear END AS gear_name, "
+    "CASE WHEN contains(fuel, '(') OR contains(fuel, 'Eléctrico') THEN 'Electrico/hibrido' ELSE fuel END AS fuel_label",
+    lambda: [
+        fields.mapped(c("fuel"), fields.FUEL_MOTOR).alias("fuel_motor"),
+        fields.gear_market(c("gear")).alias("gear_market"),
+        fields.mapped(c("gear"), fields.GEAR_MOTOR).alias("gear_motor"),
+        fields.gear_by_name(c("gear")).alias("gear_name"),
+        fields.fuel_hybrid_label(c("fuel")).alias("fuel_label"),
+    ],
 )
 _UB, _UM = f"upper({tok(_T, 1)})", f"upper({tok(_T, 2)})"
 ficha_rule(

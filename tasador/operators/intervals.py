@@ -96,5 +96,12 @@ def compare(safe: DataFrame, tight: DataFrame) -> DataFrame:
 
 
 def intervals(scores: DataFrame, safe: float = SAFE, tight: float = TIGHT) -> DataFrame:
-    table = grid(scores)
-    return compare(best(table, safe), best(table, tight)).select(*schemas.INTERVALS.names)
+    """`compare` of both `best` tables, from one aggregate over one grid."""
+    packed = F.struct("Cost", "Z", "Coverage", "Width", "Mean_error", "mean_pred")
+
+    def reaching(coverage: float) -> Column:
+        return F.min(F.when(F.col("Coverage") >= coverage, packed))
+
+    both = grid(scores).groupBy("Brand").agg(reaching(safe).alias("s"), reaching(tight).alias("t")).dropna(subset=["s", "t"])
+    picked = both.select("Brand", F.when(F.col("s.Cost") < F.col("t.Cost"), F.col("s")).otherwise(F.col("t")).alias("p")).select("Brand", "p.*")
+    return picked.withColumn("Error_pct", error_percent(F.col("Mean_error"), F.col("mean_pred"))).select(*schemas.INTERVALS.names)

@@ -4,7 +4,7 @@ Both are written for keys that may hold a third of all rows.  Survivors are
 chosen by an aggregate, which shrinks every input partition to one row per key
 before the exchange; a window would send a hot key to one task and sort it
 there.  A dimension is broadcast only after its size was measured; past the
-bound the join shuffles, with the hot keys taken out first.
+bound the join shuffles, with the hot keys salted.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds at least one row in HOT_SHARE, so there are at most HOT_SHARE of them.
 HOT_SHARE = 1_000
+SALTS = 64
 
 
 def _survivor(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pick) -> DataFrame:
@@ -47,14 +48,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a dimension: at most `max_rows` rows are read past, and their text widths summed."""
+    """Measure a dimension: rows, and bytes of their texts.  Counted where the rows are, nothing is gathered."""
     if max_rows <= 0:
         return False
     width = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in dim.columns],
     )
-    seen = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    seen = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 
@@ -68,31 +69,28 @@ def lookup(
 ) -> DataFrame:
     """Join each fact row to its single `dim` row (`dim` holds one row per key).
 
-    A measured small `dim` is broadcast.  Otherwise the keys that hold a large
-    share of the fact rows are found by a pre-aggregated count; their rows join
-    a broadcast of at most HOT_SHARE dimension rows, and only the thin rest is
-    shuffled.
+    A measured small `dim` is broadcast.  Otherwise both sides are shuffled by key
+    and salt.  Keys that hold a large share of the fact rows, found by one
+    pre-aggregated count, are dealt to `SALTS` salts, and only their dimension
+    rows, at most HOT_SHARE, are repeated for each salt.  A null key matches nothing
+    and is dealt to salts too.  The fact is read twice in all: for the count and for
+    the join.
     """
     on = list(on)
     if fits_broadcast(dim, max_rows, max_bytes):
         return fact.join(F.broadcast(dim), on, how)
 
-    counts = fact.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.broadcast(fact.agg(F.count(F.lit(1)).alias("_total")))
-    hot_keys = cut_lineage(
-        counts.join(total, F.col("_n") * HOT_SHARE >= F.col("_total")).select(*on, F.lit(True).alias("_hot"))
-    )
-    flagged = fact.join(F.broadcast(hot_keys), on, "left")
-    hot_dim = dim.join(F.broadcast(hot_keys.drop("_hot")), on, "left_semi")
-    hot = flagged.filter("_hot").drop("_hot").join(F.broadcast(hot_dim), on, how)
-    rest = flagged.filter("_hot is null").drop("_hot")
     keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    # A null key matches nothing; sent through the shuffle it would pile up in one task.
-    cold = rest.filter(~keyless).join(dim.hint("merge"), on, how)
-    out = hot.unionByName(cold)
-    if how == "left":
-        out = out.unionByName(rest.filter(keyless), allowMissingColumns=True)
-    return out
+    counts = cut_lineage(fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # At most HOT_SHARE keys can hold that share, so they always broadcast.
+    hot = F.broadcast(counts.filter((F.col("_n") * HOT_SHARE >= F.lit(total)) & ~keyless).select(*on, F.lit(True).alias("_hot")))
+    # By the row's content: a task that runs again deals its rows as before.
+    deal = F.when(F.col("_hot") | keyless, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salted = fact.join(hot, on, "left").withColumn("_salt", deal).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dim.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return salted.join(repeated.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def semi_lookup(

@@ -127,10 +127,23 @@ def tidy(df: DataFrame) -> DataFrame:
     ).drop("Family", "PublicationYear")
 
 
+REQUIRED = ["Brand", "Price", "Registration", "Province", "Fuel", "Gearbox", "Kms"]
+
+
+def with_fields(df: DataFrame, names: Sequence[str] = REQUIRED) -> DataFrame:
+    """Rows that have every one of the fields."""
+    return df.dropna(subset=list(names))
+
+
 def required(df: DataFrame) -> DataFrame:
     """Cleaned rows with every required field, inside the accepted ranges."""
-    present = df.dropna(subset=["Brand", "Price", "Registration", "Province", "Fuel", "Gearbox", "Kms"])
-    return present.filter(rules.in_range(F.col("Price"), F.col("Kms"), F.col("Registration")))
+    return with_fields(df).filter(rules.in_range(F.col("Price"), F.col("Kms"), F.col("Registration")))
+
+
+def with_history(fresh: DataFrame, history: DataFrame | None) -> DataFrame:
+    """Old and new rows, told apart by `_batch`; columns one side lacks are null there."""
+    new = fresh.withColumn("_batch", F.lit(1))
+    return new if history is None else history.withColumn("_batch", F.lit(0)).unionByName(new, allowMissingColumns=True)
 
 
 def segment_dimension(segments: DataFrame, order: list[str]) -> DataFrame:
@@ -194,7 +207,7 @@ def new_listings(
     counts: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
     """Cleaned rows of this run; `segments` is a `segment_dimension`."""
-    df = rename_bronze(recent(bronze, since)).dropna(subset=["Brand", "Province", "Fuel", "Gearbox"])
+    df = with_fields(rename_bronze(recent(bronze, since)), ["Brand", "Province", "Fuel", "Gearbox"])
     df = counted(df, "incoming", counts)
     df = counted(row_rules(prepare(df), as_of, gear_synonyms), "ruled", counts)
     df = required(counted(tidy(df), "tidied", counts))
@@ -258,24 +271,21 @@ def build_silver(
     step whose row count is wanted: incoming, ruled, tidied, cleaned, spelt.
     """
     fresh = new_listings(bronze, segments, as_of, since, gear_synonyms, bits, counts)
-    both = fresh.withColumn("_batch", F.lit(1))
-    if history is not None:
-        old = typed(history.withColumnsRenamed(schemas.SILVER_LEGACY_NAMES)).withColumn("_batch", F.lit(0))
-        both = old.unionByName(both, allowMissingColumns=True)
-    return typed(fill_segment(newest(counted(final_spelling(both), "spelt", counts)), price_segments))
+    both = with_history(fresh, None if history is None else typed(history.withColumnsRenamed(schemas.SILVER_LEGACY_NAMES)))
+    return typed(fill_segment(newest(counted(with_fields(counted(final_spelling(both), "ruled twice"), ["Brand", "Model"]), "spelt", counts)), price_segments))
 
 
 def newest(df: DataFrame, key: Sequence[str] = schemas.SILVER_KEY) -> DataFrame:
-    """The last row of each business key, newer batch first, then rows without brand or model dropped.
+    """The last row of each business key, newer batch first.
 
     The key is folded into one digest: the survivor aggregate then sorts by 32
-    bytes instead of eleven texts.  The null test stays above the aggregate on
-    purpose: pushed below, the optimizer would inline the whole rule chain into
-    the filter, and its size doubles with every rule.
+    bytes instead of eleven texts.  Rows without brand or model are dropped
+    before, between two counters: there they are not shuffled, and the rule chain
+    is not copied into the filter.
     """
     keyed = df.select("_batch", *schemas.SILVER.names, rules.exact_key([F.col(n) for n in key]).alias("_key"))
     kept = keep_last(keyed, ["_key"], ["_batch", "ExtractedDate"])
-    return kept.drop("_key", "_batch").dropna(subset=["Brand", "Model"])
+    return kept.drop("_key", "_batch")
 
 
 def segment_gaps(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-NODE = "at int, tag string, cls string, text string, href string"
+_FIELDS = ["tag", "cls", "text", "href"]
+NODE = T.StructType([T.StructField(n, T.StringType()) for n in _FIELDS])
+_NODES = pa.list_(pa.struct([(n, pa.string()) for n in _FIELDS]))
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _SILENT = {"script", "style"}
 # A start tag ends an open sibling of these kinds, as browsers read it.
@@ -59,41 +62,47 @@ class _Nodes(HTMLParser):
                     node[2].append(data)
 
 
-def page_nodes(pages: DataFrame, tags: Sequence[str], page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """(page id, at, tag, cls, text, href): one row per wanted node, numbered within its page."""
-    wanted = set(tags)
+def page_nodes(pages: DataFrame, tags: Sequence[str], html: str = "html") -> DataFrame:
+    """Pages with `nodes` in place of their html: the wanted nodes in document order, each (tag, cls, text, href).
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    One row per page and all its other columns; every page is parsed once, and no
+    row moves.
+    """
+    wanted, rest = set(tags), [c for c in pages.columns if c != html]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, text in zip(batch[page_id], batch[html]):
+            found = []
+            for text in batch.column(len(rest)).to_pylist():
                 parser = _Nodes(wanted)
                 parser.feed(text or "")
                 parser.close()
-                out.extend(
-                    (key, at, tag, cls, "".join(parts).strip(), href)
-                    for at, (tag, cls, parts, href) in enumerate(parser.found)
-                )
-            yield pd.DataFrame(out, columns=[page_id, "at", "tag", "cls", "text", "href"])
-
-    kind = pages.schema[page_id].dataType.simpleString()
-    return pages.select(page_id, html).mapInPandas(parse, f"`{page_id}` {kind}, {NODE}")
-
-
-def term_values(nodes: DataFrame, page_id: str = "page_id") -> DataFrame:
-    """(page id, terms): map from each term (dt) to the definition (dd) that follows it; first one counts."""
-    listed = (
-        nodes.filter(F.col("tag").isin("dt", "dd"))
-        .groupBy(page_id)
-        .agg(F.sort_array(F.collect_list(F.struct("at", "tag", "text"))).alias("n"))
-    )
-
-    def definition(e: Column, i: Column) -> Column:
-        after = F.get(F.col("n"), i + 1)
-        return F.struct(e["text"].alias("k"), F.when(after["tag"] == "dd", after["text"]).alias("v"), e["tag"].alias("t"))
-
-    pairs = F.filter(F.transform(F.col("n"), definition), lambda e: (e["t"] == "dt") & e["v"].isNotNull())
-    first = F.filter(
-        pairs, lambda e, i: ~F.exists(F.slice(pairs, 1, i), lambda earlier: earlier["k"] == e["k"])
-    )
-    return listed.select(page_id, F.map_from_entries(F.transform(first, lambda e: F.struct(e["k"], e["v"]))).alias("terms"))
+                found.append([{"tag": t, "cls": c, "text": "".join(parts).strip(), "href": h} for t, c, parts, h in parser.found])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(found, _NODES)], names=[*rest, "nodes"])
+
+    schema = T.StructType([*[pages.schema[c] for c in rest], T.StructField("nodes", T.ArrayType(NODE))])
+    return pages.select(*rest, html).mapInArrow(parse, schema)
+
+
+def first_text(nodes: Column, tag: str) -> Column:
+    """Text of the first node of a kind."""
+    return F.get(F.filter(nodes, lambda n: n["tag"] == tag), F.lit(0))["text"]
+
+
+def term_values(nodes: Column) -> Column:
+    """Map from each term (dt) to the definition (dd) that follows it among the two; first one counts."""
+    listed = F.filter(nodes, lambda n: n["tag"].isin("dt", "dd"))
+
+    def pairs(own: Column) -> Column:
+        def definition(e: Column, i: Column) -> Column:
+            after = F.get(own, i + 1)
+            return F.struct(e["text"].alias("k"), F.when((e["tag"] == "dt") & (after["tag"] == "dd"), after["text"]).alias("v"))
+
+        return F.filter(F.transform(own, definition), lambda e: e["v"].isNotNull())
+
+    def first(own: Column) -> Column:
+        return F.filter(own, lambda e, i: ~F.exists(F.slice(own, F.lit(1), i), lambda earlier: earlier["k"] == e["k"]))
+
+    # Lambda arguments are evaluated once; written out, each list would be built anew for every node.
+    bound = F.transform(F.array(listed), pairs)
+    return F.map_from_entries(F.get(F.transform(bound, first), F.lit(0)))
