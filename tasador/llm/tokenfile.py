@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.llm.common import scratch
-from tasador.llm.tokenizer import encoder
+from tasador.llm.tokenizer import WORD_CHARS, encoder
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -111,10 +111,21 @@ def write(docs: DataFrame, vocabulary: str, folder: str, length: int = LENGTH, e
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, writer = encoder(vocabulary), None
+        ids: list[int | None] = []
+        texts: list[str] = []
+        held = 0
         for batch in batches:
-            if batch.num_rows:
-                writer = writer or Writer(folder, tokens.kind, length, end_id)
-                writer.add(batch.column(0).to_pylist(), tokens.encode(batch.column(1).to_pylist()))
+            if not batch.num_rows:
+                continue
+            writer = writer or Writer(folder, tokens.kind, length, end_id)
+            ids += batch.column(0).to_pylist()
+            texts += batch.column(1).to_pylist()
+            held += batch.nbytes
+            if held >= WORD_CHARS:  # many texts at once share more words
+                writer.add(ids, tokens.encode(texts))
+                ids, texts, held = [], [], 0
+        if ids:
+            writer.add(ids, tokens.encode(texts))
         if writer:
             writer.close()
             row = [TaskContext.get().partitionId(), writer.ids, writer.documents, writer.n_docs, writer.n_tokens]

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 GROUP_CHARS = 1 << 18
 """Characters encoded in one call; the library keeps some hundred bytes per token until it returns."""
 WORDS_KEPT = 500_000
-WORD_CHARS = 1 << 21
+WORD_CHARS = 1 << 23
 """Characters put together from words in one go."""
 WORDS_AT_ONCE = 20_000
 
@@ -177,23 +177,26 @@ class Encoder:
         for i in new:
             raw[i] = self.words[words[i]]
         size = self.kind.itemsize
-        length = np.fromiter(map(len, raw), np.int64, len(raw))
+        length = np.fromiter(map(len, raw), np.int32, len(raw))
         odd = np.flatnonzero(length % size)
         for i in odd.tolist():
             raw[i] = b""
         length //= size
-        ids, first = np.frombuffer(b"".join(raw), self.kind), np.cumsum(length) - length
+        ids, first = np.frombuffer(b"".join(raw), self.kind), np.cumsum(length, dtype=np.int32) - length
         place = coded.indices.to_numpy()
         count = length[place]
-        ends = np.concatenate([[0], np.cumsum(count)])
-        out = ids[np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], count)].tobytes()
+        ends = np.zeros(len(place) + 1, np.int32)
+        np.cumsum(count, out=ends[1:])
+        at = np.arange(ends[-1], dtype=np.int32)
+        at += np.repeat(first[place] - ends[:-1], count)
+        out = ids[at].tobytes()
         edges = pieces.offsets.to_numpy()
         if len(odd):
             strange = np.zeros(len(raw), bool)
             strange[odd] = True
             bad = np.concatenate([[0], np.cumsum(strange[place])])[edges]
             plain = [p and not b for p, b in zip(plain, np.diff(bad).tolist())]
-        at = (ends[edges] * size).tolist()
+        at = (ends[edges].astype(np.int64) * size).tolist()
         return [out[a + size : b] if p else self._ids(t) for t, p, a, b in zip(texts, plain, at, at[1:])]
 
 
