@@ -437,7 +437,10 @@ def _upper_bronze(spark, sf_dir):
 
 
 def _segments(spark, sf_dir):
-    return S.segment_dimension(view(spark, sf_dir, "segment_silver"), ["seq"])
+    # As the workbook has it, under its own headers.
+    own = {name: header for header, name in schemas.SEGMENT_BOOK_NAMES.items()}
+    book = view(spark, sf_dir, "segment_silver").withColumnsRenamed({n: own[n] for n in ("Brand", "Model_Cube", "Segment")})
+    return S.segment_dimension(S.segment_book(book, ["seq"]), ["seq"])
 
 
 @register("jn_segment", f'{cte("bronze", "segment_silver")}, {_SEG_DIM}, {_UPPER_BRONZE} SELECT up.*, "Segment" FROM up LEFT JOIN seg USING ("Brand", "Model")')

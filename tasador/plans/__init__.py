@@ -1 +1 @@
-"""Whole jobs, each one lazy plan from input tables to output table."""
+"""Whole jobs, from input tables to output table.  Some steps run Spark jobs while a plan is built: measured joins, checkpoints."""

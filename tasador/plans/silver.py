@@ -146,6 +146,11 @@ def with_history(fresh: DataFrame, history: DataFrame | None) -> DataFrame:
     return new if history is None else history.withColumn("_batch", F.lit(0)).unionByName(new, allowMissingColumns=True)
 
 
+def segment_book(book: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """(Brand, Model_Cube, Segment) of the segment workbook, whose headers are Spanish."""
+    return book.withColumnsRenamed(schemas.SEGMENT_BOOK_NAMES).select("Brand", "Model_Cube", "Segment", *order)
+
+
 def segment_dimension(segments: DataFrame, order: list[str]) -> DataFrame:
     """(Brand, Model, Segment), repaired, one row per join key, last wins."""
     plain = segments.select(

@@ -29,6 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app_name: str = "tasador", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    # Checkpoints go once nothing refers to them any more.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in {**SQL_SETTINGS, **conf}.items():

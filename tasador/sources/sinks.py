@@ -60,6 +60,12 @@ def overwrite_growing(df: DataFrame, folder: str) -> str:
     return overwrite(df, folder)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove one version of a table."""
+    fs, make = _fs(spark, path)
+    fs.delete(make(path), True)
+
+
 def append_rows(df: DataFrame, folder: str) -> None:
     """Add rows to a plain Parquet folder (result tables stamped with a date)."""
     df.write.mode("append").parquet(folder)

@@ -105,6 +105,20 @@ def test_exact_median_narrows(spark):
     assert M.exact_median(even.limit(0), F.col("v")) is None
 
 
+def test_exact_median_with_two_common_values_at_the_middle(spark):
+    """The ranks around the middle hold two values with many others between them."""
+    values = [1.0] * 3000 + [9.0] * 3000 + [1 + i / 1000 for i in range(1, 2001)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert M.exact_median(df, F.col("v"), enough=5) == statistics.median(values)
+    plan = df.agg(F.percentile_approx("v", 0.5))  # the plain way agrees within its error
+    assert abs(plan.first()[0] - statistics.median(values)) < 0.01
+
+
+def test_best_prefix():
+    errors = [9, 8, 7, 7.5, 7.4, 7.2, 6, 5]
+    assert M.best_prefix(errors, patience=3) == 3 and M.best_prefix(errors, patience=4) == 8 and M.best_prefix([1.0]) == 1
+
+
 @pytest.fixture(scope="module")
 def patterns(spark):
     rng = random.Random(7)
@@ -138,8 +152,30 @@ def test_kfold_and_importance(patterns):
     assert M.permutation_importance(model, patterns, DAY).first().FeatureName in ("Age", "Kms")
 
 
+def test_patience_drops_the_trees_that_do_not_help(patterns):
+    """Held rows of a shuffled target are not helped by any tree, so few stay."""
+    parts = M.split(patterns).withColumn("Price", F.when(F.col("held"), F.rand(3) * 30000).otherwise(F.col("Price")))
+    model = M.train(M.cut_lineage(parts), {"iterations": 12, "depth": 5, "learning_rate": 0.5}, validation="held", patience=2)
+    assert model.stages[-1].getNumTrees < 12
+
+
+def test_permutation_importance_keeps_equal_rows(patterns):
+    """Rows that are equal once the model name is gone all count."""
+    few = patterns.limit(40)
+    many = M.cut_lineage(few.unionByName(few).unionByName(few.filter("Brand = 'A'")))
+    model = M.train(many, SMALL)
+    seen = []
+    plain = M.score
+    M.score = lambda m, df: seen.append(df.count()) or plain(m, df)
+    try:
+        M.permutation_importance(model, many, DAY)
+    finally:
+        M.score = plain
+    assert set(seen) == {many.count()}
+
+
 def test_shuffle_is_a_permutation(patterns):
-    mixed = M.shuffled(patterns, "Price", 1, rows_per_bucket=100)
+    mixed = M.shuffled(M.numbered(patterns), "Price", 1, rows_per_bucket=100).drop("_row")
     assert sorted(r.Price for r in mixed.collect()) == sorted(r.Price for r in patterns.collect())
     assert mixed.drop("Price").exceptAll(patterns.drop("Price")).count() == 0
     assert mixed.exceptAll(patterns).count() > 500

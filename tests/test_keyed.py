@@ -45,6 +45,17 @@ def test_lookup_is_the_same_on_every_path(skewed, how):
     assert plain == small == large
 
 
+def test_lookup_past_the_bound_reads_the_fact_once_more(spark):
+    """One pass counts the keys, one joins; hot keys are salted, not joined apart."""
+    fact = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    dim = fact.filter("k <> '7'").select("k").distinct().withColumn("d", F.upper("k"))
+    dim = spark.createDataFrame(dim.collect(), dim.schema)
+    out = keyed.lookup(fact, dim, ["k"], max_rows=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 1000") == 1 and plan.count("SortMergeJoin") == 1
+    assert out.count() == 1000 and out.filter("d is null").count() == 1
+
+
 def test_broadcast_needs_a_measured_size(skewed, spark):
     dim = spark.range(100).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 1000).alias("wide"))
     assert keyed.fits_broadcast(dim)

@@ -70,13 +70,20 @@ def test_link_needs_every_operand(apply_rule):
 
 def test_labels_and_keys(apply_rule):
     page = "Marca:\n Audi \nAño Desde:\n2019\nFin:"
-    assert apply_rule(lambda t: fields.labelled(text.tokens(t, "\n"), "Marca:"), [(page,), ("x",)], ONE) == ["Audi", None]
-    assert apply_rule(lambda t: fields.labelled(text.tokens(t, "\n"), "Fin:"), [(page,)], ONE) == [None]
+    found = lambda t: fields.after_labels(text.tokens(t, "\n"), ["Marca:", "Fin:"])
+    twice = "Marca:\nAudi\nMarca:\nSeat"
+    assert apply_rule(lambda t: fields.labelled(found(t), "Marca:"), [(page,), ("x",), (twice,)], ONE) == ["Audi", None, "Audi"]
+    assert apply_rule(lambda t: fields.labelled(found(t), "Fin:"), [(page,)], ONE) == [None]
     lines = "Precio contado: 1\nPrecio: 2\nAño : 2019"
     assert apply_rule(lambda t: fields.last_of(fields.key_lines(t), ["Precio", "Precio contado"]), [(lines,)], ONE) == ["2"]
     assert apply_rule(lambda t: fields.has_key(fields.key_lines(t), "k"), [("k: 1\nj: 0",), ("k",)], ONE) == [True, False]
 
 
+def test_manual_comes_before_brand_names_of_automatics(apply_rule):
+    rows = [("Manual S tronic",), ("Manual DSG",), ("S tronic",), ("DSG 7",), ("manual dsg",), ("Otro",), (None,)]
+    assert apply_rule(fields.gear_by_name, rows, ONE) == ["Manual", "Manual", "Automática", "Automática", "Automática", "Otro", None]
+
+
 def test_digest_is_sha224(apply_rule):
     import hashlib
 

@@ -67,12 +67,25 @@ def test_a_table_can_be_rewritten_from_itself(spark, tmp_path):
 
 def test_nodes_of_a_page(spark):
     html = '<div class="c"><dl><dt>Año<dd>2019<dt>Caja</dt><dd> Manual &amp; x</dd></dl><script>var a="<p>";</script><a href="/u">t<b>b</b></a><br>'
-    df = spark.createDataFrame([(1, html), (2, None)], "page_id bigint, html string")
-    nodes = pages.page_nodes(df, ["dt", "dd", "a", "div"])
-    got = [(r.tag, r.cls, r.text, r.href) for r in nodes.orderBy("at").collect()]
+    df = spark.createDataFrame([(1, "u", html), (2, None, None)], "page_id bigint, url string, html string")
+    parsed = pages.page_nodes(df, ["dt", "dd", "a", "div"])
+    assert parsed.columns == ["page_id", "url", "nodes"]
+    first, empty = parsed.orderBy("page_id").collect()
+    assert (first.url, empty.url, empty.nodes) == ("u", None, [])
+    got = [tuple(n) for n in first.nodes]
     assert got[1:] == [("dt", None, "Año", None), ("dd", None, "2019", None), ("dt", None, "Caja", None), ("dd", None, "Manual & x", None), ("a", None, "tb", "/u")]
     assert got[0][1] == "c"
-    assert pages.term_values(nodes).first()["terms"] == {"Año": "2019", "Caja": "Manual & x"}
+    terms = parsed.orderBy("page_id").select(pages.term_values(parsed["nodes"]).alias("t"), pages.first_text(parsed["nodes"], "a").alias("a"))
+    assert [tuple(r) for r in terms.collect()] == [({"Año": "2019", "Caja": "Manual & x"}, "tb"), ({}, None)]
+
+
+def test_pages_are_parsed_once_and_do_not_move(spark):
+    df = spark.createDataFrame([(1, "<dl><dt>a<dd>b<dt>a<dd>c</dl>")], "page_id bigint, html string")
+    parsed = pages.page_nodes(df, ["dt", "dd"])
+    out = parsed.select("page_id", pages.term_values(parsed["nodes"]).alias("t"), pages.first_text(parsed["nodes"], "dt").alias("a"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    assert out.first()["t"] == {"a": "b"}
 
 
 def test_site_rows_fit_the_bronze_table(spark):
