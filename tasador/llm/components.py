@@ -18,6 +18,7 @@ def components(links: DataFrame) -> DataFrame:
     by `min` before they are shuffled and its join is one that Spark can split.
     Null ends are no links; links of a node to itself keep it as its own root.
     """
+    links = stored(links.select("a", "b"), "links")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).dropna().distinct()
     edges = links.dropna().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
     edges = stored(edges, "links")
