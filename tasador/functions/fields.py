@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -178,18 +176,14 @@ def drop_first_word(text: Column) -> Column:
     return tokens_after(text, 1)
 
 
-def after_labels(lines: Column, labels: Sequence[str]) -> Column:
-    """Map from each of `labels` to the line after the first line that is exactly it; one pass over the lines."""
-    pairs = F.transform(lines, lambda line, i: F.struct(line.alias("k"), F.get(lines, i + 1).alias("v")))
-    wanted = F.filter(pairs, lambda p: p["k"].isin(list(labels)))
-    # Few lines are labels, so looking for an earlier one of the same name among them is cheap.
-    first = F.filter(wanted, lambda p, i: ~F.exists(F.slice(wanted, F.lit(1), i), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(first)
-
+def labelled(lines: Column, label: str) -> Column:
+    """The line after the first line that is exactly `label`.
 
-def labelled(found: Column, label: str) -> Column:
-    """The line after a label, from `after_labels`."""
-    return strip(found[label])
+    A search per label is compiled code; a map of all labels built once per row needs
+    array functions with lambdas, which are interpreted and took five times as long.
+    """
+    at = F.array_position(lines, F.lit(label))
+    return strip(F.when(at > 0, F.try_element_at(lines, (at + 1).cast("int"))))
 
 
 def key_lines(text: Column) -> Column:

@@ -146,15 +146,13 @@ LABELS = {
 
 def labelled_fields(df: DataFrame, text: str) -> DataFrame:
     """Bronze fields from "Label:" lines followed by their value; of two labels the first present counts."""
-    # The counters keep the steps apart: the lines are split once and read once, the fields look values up.
-    wanted = [f"{label}:" for labels in LABELS.values() for label in labels]
-    df = counted(df.withColumn("_lines", tokens(F.col(text), "\n")), "lines")
-    df = counted(df.withColumn("_found", fields.after_labels(F.col("_lines"), wanted)), "found")
+    # The lines are split once, as a column of their own; the fields then only look values up.
+    df = df.withColumn("_lines", tokens(F.col(text), "\n"))
     found = {
-        name: F.coalesce(*[fields.labelled(F.col("_found"), f"{label}:") for label in labels])
+        name: F.coalesce(*[fields.labelled(F.col("_lines"), f"{label}:") for label in labels])
         for name, labels in LABELS.items()
     }
-    return with_required(counted(df.withColumns(found).drop("_lines", "_found"), "labelled"), *LABELS)
+    return with_required(counted(df.withColumns(found).drop("_lines"), "labelled"), *LABELS)
 
 
 def keyed_fields(df: DataFrame, text: str, financed_key: str | None = None) -> DataFrame:
