@@ -187,8 +187,9 @@ def _reporter(items: list, threshold: float):
     names = ["doc_id", "item_id", "n_shared", "n_item", "containment"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
 
+    search = Search(items, threshold)  # signed once, here; the tasks get the signatures
+
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Search(items, threshold)
         for batch in batches:
             rows = [(batch.column(0)[row].as_py(), i, n, m, n / m) for row, i, n, m in search(batch.column(1))]
             if rows:
@@ -206,8 +207,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 
 def _filter(items: list, threshold: float, at: int):
+    search = Search(items, threshold)
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Search(items, threshold)
         for batch in batches:
             clean = np.ones(batch.num_rows, bool)
             clean[[row for row, *_ in search(batch.column(at).cast(pa.binary()))]] = False

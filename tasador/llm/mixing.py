@@ -12,7 +12,8 @@ SEED = 17
 ALPHA = 0.5
 PART_RATE = 64
 """A higher rate is split into equal parts, whose independent draws add up to a draw of the whole."""
-BROADCAST_SOURCES = 100_000
+BROADCAST_SOURCES = 10_000
+"""Sources that are broadcast at most; each brings some 200 steps of its distribution, 20 MB in all."""
 SALTS = 64
 
 
