@@ -103,3 +103,10 @@ def test_trusted_list_is_bounded_by_a_parameter(spark):
     docs = spark.createDataFrame([(i, f"word{i} other{i}") for i in range(6)], "doc_id bigint, text string")
     weights = Q.fit_weights(docs, docs.select("doc_id"), trusted_limit=1).collect()
     assert sum(w["weight"] > 0 for w in weights) <= 3 < len(weights)
+
+
+def test_every_trusted_text_counts(spark):
+    """More trusted texts than any fixed number that was kept before: if all are trusted, no n-gram tells anything."""
+    docs = spark.range(200_500).selectExpr("id AS doc_id", "concat('w', id % 97) AS text")
+    weights = Q.fit_weights(docs, docs.select("doc_id")).collect()
+    assert len(weights) == 97 and {w["weight"] for w in weights} == {0.0}
