@@ -42,6 +42,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The documents as often as the mixture wants them, in random order.
 
     Target weights: the size of a source to the power 0.5; as many documents as there are.
+    `token_files` sorts by doc_id again, which undoes the order.
     """
     prepared(spark)
     packed = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_whole"))
