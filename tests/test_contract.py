@@ -1,6 +1,10 @@
 """The driver's entry points."""
 
 import re
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -20,6 +24,20 @@ def test_every_sql_has_a_query():
     assert set(queries) == set(oracle)
 
 
+@pytest.mark.parametrize("dropped", [["tasador/llm", "tests/llm"], ["tasador/llm", "tests/llm", "corpus_pipeline.py"]])
+def test_without_text_operators(tmp_path, dropped):
+    """The rest of the queries register, and the rest of the modules import, where the text folders are gone."""
+    root, copy = Path(__file__).resolve().parent.parent, tmp_path / "repo"
+    shutil.copytree(root, copy, ignore=lambda folder, names: [n for n in names if str(Path(folder, n).relative_to(root)) in dropped or n in (".git", "__pycache__")])
+    assert not (copy / "tasador/llm").exists()
+    own = [n for n in entry.queries() if not re.match(r"op\d|pipeline$", n)]
+    code = "import bench, checks.compare, __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    names, sql = done.stdout.splitlines()[-2:]
+    assert names.split() == sorted(own) and set(sql.split()) <= set(own)
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
