@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.llm.common import map_arrow
-from tasador.llm.tokenizer import counts, load, splits_at_spaces
+from tasador.llm.tokenizer import counts, edges, load
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -50,18 +50,22 @@ class Chunk:
         return list(zip(self.starts[max(0, k - width) : k + width], self.ends[max(0, k - width) : k + width]))
 
 
-def splice(text: str, left: Chunk, right: Chunk) -> tuple[int, int] | None:
-    """Tokens of `left` before, and of `right` before, a boundary that holds in the whole text.
+def places(path: str, text: str, first: int, last: int) -> list[int]:
+    """The boundaries that hold in the whole text (`edges`) and lie well inside text[first:last], those nearest to the middle first."""
+    known, reach = edges(path)
+    lo, hi = first + reach, last - reach
+    found = [m.start() for m in known.finditer(text, max(0, lo - 1), min(len(text), hi + 2)) if lo <= m.start() <= hi]
+    return sorted(found, key=lambda at: abs(2 * at - first - last))
 
-    The boundary is the left side of a single space between other characters,
-    inside the overlap: there no token of this tokenizer crosses and what stands
-    on one side does not change the other.  Both chunks must cut there, with the
-    same tokens around.  The middle of the overlap is tried first.
+
+def splice(path: str, text: str, left: Chunk, right: Chunk) -> tuple[int, int] | None:
+    """Tokens of `left` before, and of `right` before, a boundary inside the overlap where both agree.
+
+    No token of this tokenizer crosses such a boundary, and what stands on one side
+    does not change the other.  Both chunks must cut there, with the same tokens
+    around.
     """
-    lo, hi = right.first + 1, left.last - 1
-    middle = (lo + hi) // 2
-    places = [i for i in range(lo, hi) if text[i] == " " and not text[i - 1].isspace() and not text[i + 1].isspace()]
-    for at in sorted(places, key=lambda i: abs(i - middle)):
+    for at in places(path, text, right.first, left.last):
         a, b = left.cut(at), right.cut(at)
         if a is not None and b is not None and left.near(at, 2) == right.near(at, 2):
             return a, b
@@ -71,28 +75,35 @@ def splice(text: str, left: Chunk, right: Chunk) -> tuple[int, int] | None:
 def count_long(path: str, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """Tokens of one text, holding the tokens of two chunks at a time.
 
-    Each chunk begins `overlap` characters before the end of the last.  If the
-    two do not agree anywhere in there, the overlap is doubled; once it would reach
-    back to the place where the left chunk begins, the left chunk is made longer
-    instead, at worst up to the whole rest of the text.
+    Each chunk begins `overlap` characters before the end of the last.  If no
+    boundary is in there, or the two chunks agree at none, the overlap is doubled, and
+    stays so; once it would reach back to the place where the left chunk begins,
+    that one is made twice as long instead, at worst up to the whole rest of the text.
+    Chunks are encoded only where there is a boundary to try, so that what is encoded
+    in all is a small multiple of the text, also of one without any.
     """
-    if len(text) <= chunk or not splits_at_spaces(path):
+    if len(text) <= chunk or edges(path)[0] is None:
         return counts(path, [text])[0]
     total, skipped = 0, 0  # skipped: tokens of the left chunk that the chunk before has counted
-    left = Chunk(path, text, 0, chunk)
-    while left.last < len(text):
+    left, first, last = None, 0, min(len(text), chunk)
+    while last < len(text):
         width = overlap
-        while True:
-            first = left.last - width
-            if first <= left.first:
-                left = Chunk(path, text, left.first, min(len(text), left.last + chunk))
-                break
-            right = Chunk(path, text, first, min(len(text), first + max(chunk, 2 * width)))
-            if cut := splice(text, left, right):
-                total += cut[0] - skipped
-                left, skipped = right, cut[1]
-                break
-            width *= 2
+        while last < len(text):
+            if width >= last - first:
+                last = min(len(text), first + 2 * (last - first))
+            elif places(path, text, last - width, last):
+                if left is None or (left.first, left.last) != (first, last):
+                    left = Chunk(path, text, first, last)
+                right = Chunk(path, text, last - width, min(len(text), last - width + max(chunk, 2 * width)))
+                if cut := splice(path, text, left, right):
+                    total += cut[0] - skipped
+                    left, skipped, first, last = right, cut[1], right.first, right.last
+                    break
+                width *= 2
+            else:
+                width *= 2
+    if left is None or (left.first, left.last) != (first, last):
+        left = Chunk(path, text, first, last)
     return total + len(left.starts) - skipped
 
 
@@ -101,7 +112,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, chunk: int = CH
 
     `n_tokens`: what the library gives for the whole text, without added special
     tokens; special strings inside a text are read as the library does by
-    default.  Texts of over `chunk` characters are counted in overlapping chunks.
+    default.  Texts of over `chunk` characters are counted in overlapping chunks,
+    with work in proportion to their length whether or not they have spaces.
     A null text counts as empty: no bytes, no tokens.  Null ids and repeated rows
     stay; other columns are not read.
     """

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 GROUP_CHARS = 1 << 18
 """Characters encoded in one call; the library keeps some hundred bytes per token until it returns."""
@@ -72,6 +73,35 @@ def splits_at_spaces(path: str) -> bool:
     return False
 
 
+# Characters that every Unicode version puts in the same class: letters, digits, and signs but the apostrophe.
+_LETTER = r"A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u0410-\u044F\u3042-\u3093\u30A2-\u30F3\u4E00-\u9FA5\uAC00-\uD7A3"
+_DIGIT = "0-9"
+_SIGN = r"!-&(-/:-@\[-`{-~\u3001\u3002\uFF01\uFF0C\uFF1A\uFF1F"
+_SPACE_EDGE = r"(?<=\S)(?= \S)(?<![\x1c-\x1f\x85\xa0])(?! [\x1c-\x1f\x85\xa0])"
+_CLASS_EDGE = rf"(?<=[{_LETTER}])(?=[{_DIGIT}{_SIGN}'])|(?<=[{_DIGIT}])(?=[{_LETTER}{_SIGN}'])|(?<=[{_SIGN}])(?=[{_LETTER}{_DIGIT}])"
+
+
+@lru_cache(maxsize=4)
+def edges(path: str) -> tuple[regex.Pattern | None, int]:
+    """Where encodings fall apart whatever stands around, and how far from there a chunk has to reach.
+
+    The left side of a single inner space (`splits_at_spaces`).  The usual pattern of
+    byte-level BPE also ends a piece where letters, digits and signs meet; only an
+    apostrophe may go with the letters after it, and only a special token, which
+    is taken out before, may lie across.  A chunk that reaches as far as the longest
+    of those to both sides sees it whole.  None: nothing is known.
+    """
+    if not splits_at_spaces(path):
+        return None, 0
+    if path.endswith(".json"):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = spec.get("pre_tokenizer") or {}
+        if [s["type"] for s in steps.get("pretokenizers", [steps])] == ["ByteLevel"]:
+            return regex.compile(f"{_SPACE_EDGE}|{_CLASS_EDGE}"), max([1, *(len(t["content"]) for t in spec.get("added_tokens", []))])
+    return regex.compile(_SPACE_EDGE), 1
+
+
 def grouped(texts: list[str], chars: int = GROUP_CHARS):
     """Runs of texts of about `chars` characters together."""
     group, held = [], 0

@@ -59,6 +59,39 @@ def test_chunks_are_really_spliced(monkeypatch):
     assert len(seen) > 20 and max(seen) <= 1000
 
 
+def unspaced(kind, n, seed=5):
+    draw = random.Random(seed)
+    if kind == "base64":
+        return "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+    if kind == "code":
+        return "".join(draw.choices(["function", "(", "a1", ")", "{", "x.y", "='", "s'", ";", "}", "<|endoftext|>", "don't", "''ll"], k=n // 3))[:n]
+    if kind == "cjk":
+        return "".join("".join(draw.choices("日本語漢字中文的是不了人", k=draw.randrange(3, 30))) + draw.choice("，。！") for _ in range(n // 16))[:n]
+    return "".join(draw.choices("abcdefgh", k=n))
+
+
+@pytest.mark.parametrize("kind", ["base64", "code", "cjk", "letters"])
+def test_texts_without_spaces(kind):
+    for path in (BYTES, WORDS, PIECES):
+        for n in (60, 777, 5000):
+            text = unspaced(kind, n, n)
+            want = len(plain(path, text))
+            for chunk, overlap in ((200, 16), (97, 3), (1000, 400)):
+                assert tokencount.count_long(path, text, chunk, overlap) == want, (path, n, chunk)
+
+
+@pytest.mark.parametrize("kind", ["base64", "code", "cjk", "letters"])
+def test_work_in_proportion_without_spaces(monkeypatch, kind):
+    text, seen = unspaced(kind, 1_000_000), []
+    want = tokencount.counts(BYTES, [text])[0]
+    spans = tokencount.spans
+    monkeypatch.setattr(tokencount, "spans", lambda path, part: seen.append(len(part)) or spans(path, part))
+    assert tokencount.count_long(BYTES, text) == want
+    assert sum(seen) < (4 if kind == "letters" else 1.2) * len(text)
+    if kind != "letters":
+        assert max(seen) <= tokencount.CHUNK
+
+
 def test_token_counts(spark):
     rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(None, None, "y"), (3, "again", "y"), (3, "again", "y"), (90, noise(random.Random(3), 30_000), "z")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
