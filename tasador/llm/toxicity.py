@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,7 @@ PREFIXES = (3, 4, 5, 6)
 STEPS, RATE, PENALTY = 200, 0.1, 1e-4
 SPACE = 1 << 22
 WORDS_KEPT = 400_000
+OFTEN = 1_000
 _EDGES = b".,;:!?\"'()[]{}|*#$%&<>-_"
 
 
@@ -122,39 +124,88 @@ def fit_one(positive: list[list[int]], unlabelled: list[list[int]], size: int, p
     return w[:-1], float(w[-1])
 
 
+def smallest(ids: DataFrame, count: int) -> DataFrame:
+    """The `count` ids of (doc_id), distinct ones, that have the smallest hashes.
+
+    A threshold got from the number of ids leaves about twice as many before any
+    are put in order, so no task sees more than those.
+    """
+    total = ids.count()
+    share = min(1.0, (2 * count + 1000) / max(1, total))
+    placed = ids.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62))).filter(F.col("_h") <= int(share * (1 << 62)))
+    return placed.orderBy("_h", "doc_id").limit(count).drop("_h")
+
+
+def document_frequencies(texts: DataFrame, wanted: dict[int, int]) -> tuple[np.ndarray, int]:
+    """In how many of all rows of `texts` (text) each wanted feature is, and how many rows there are.
+
+    Every task adds up its own rows; only one number per feature and task is shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, found, rows = Reader(wanted), np.zeros(len(wanted) + 1, np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for text in batch.column(0).to_pylist():
+                found[reader.features(text)] += 1
+        found[-1] = rows
+        place = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(found[place], pa.int64())], names=["place", "n"])
+
+    out = np.zeros(len(wanted) + 1, np.int64)
+    for row in texts.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        out[row["place"]] = row["n"]
+    return out[:-1], int(out[-1])
+
+
+def telling(positive: np.ndarray, positives: int, among: np.ndarray, rows: int) -> np.ndarray:
+    """Places of the features that toxic texts have clearly more often than all texts, the clearest first."""
+    rate = (among + 0.5) / (rows + 1)
+    excess = (positive - positives * rate) / np.sqrt(positives * rate + 0.25)
+    chosen = (positive >= LEAST_TEXTS) & (positive / positives >= LEAST_RATIO * rate) & (excess >= LEAST_DEVIATION)
+    order = np.lexsort((np.arange(len(excess)), -excess))
+    return order[chosen[order]]
+
+
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, classifiers: int = CLASSIFIERS) -> Model:
     """Learn from the documents that are not held out.
 
     Positive: at most `positives` documents labelled toxic.  Unlabelled: at most
     `unlabelled` documents of all, whatever their label.  Both are those whose ids
-    have the smallest hashes, so at most that many texts are read for learning and
-    their chosen features, at most `FEATURES` per text, reach the driver.  The prior is the share of
-    toxic among all labelled documents that are not held out.  Each classifier
-    leaves out another part of both.  An id that is labelled both ways counts as
-    toxic; rows without an id are not learned from.  Without a toxic text, or
-    without a word that tells, the model scores 0 everywhere.
+    have the smallest hashes, one text per id (the one with the smallest hash, where
+    an id comes with several), so at most that many texts are learned from.  How
+    often a feature comes otherwise is counted over all documents that are not held
+    out, an id that makes up one row in `OFTEN` or more once, other repeated rows as
+    often as they come; the at most `FEATURES` features that tell most are fitted.  The prior is the share of toxic among all labelled
+    documents that are not held out.  Each classifier leaves out another part of
+    both samples.  An id that is labelled both ways counts as toxic; rows without an
+    id are not learned from.  Without a toxic text, or without a word that tells,
+    the model scores 0 everywhere.
     """
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     prior = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    by_hash = F.xxhash64("doc_id")
-    toxic = known.filter("toxic = 1").select("doc_id").orderBy(by_hash, "doc_id").limit(positives)
-    others = docs.select(F.col("doc_id").cast("bigint")).dropna().filter(~held_out(F.col("doc_id"))).orderBy(by_hash, "doc_id").limit(unlabelled).distinct()
-    chosen = toxic.withColumn("p", F.lit(1)).join(others.withColumn("u", F.lit(1)), "doc_id", "full").withColumnRenamed("doc_id", "_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("u", F.lit(0)).alias("u"), "text")
-    sample = stored(sample, "toxic-sample")
+    texts = texts.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    toxic = smallest(known.filter("toxic = 1").select(F.col("doc_id").cast("bigint")), positives)
+    copies = stored(texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "toxic-ids")
+    others = smallest(copies.select("doc_id"), unlabelled)
+    chosen = toxic.withColumn("p", F.lit(1)).join(others.withColumn("u", F.lit(1)), "doc_id", "full").na.fill(0, ["p", "u"])
+    sample = stored(_one_each(texts.join(F.broadcast(chosen), "doc_id"), ["doc_id", "p", "u"]), "toxic-sample")
     sizes = sample.agg(F.coalesce(F.sum("p"), F.lit(0)).alias("p"), F.coalesce(F.sum("u"), F.lit(0)).alias("u")).first()
     empty = Model({}, np.zeros((0, 0)), np.zeros(0), prior)
     if not sizes["p"] or not sizes["u"]:
         return empty
 
-    seen = map_arrow(sample.select("doc_id", "p", "u", "text"), _sample_rows(None), "doc_id bigint, p int, u int, places array<bigint>")
-    counts = seen.select("p", "u", F.explode("places").alias("feature")).groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    rate = (F.col("u") + 0.5) / (sizes["u"] + 1)
-    excess = (F.col("p") - sizes["p"] * rate) / F.sqrt(sizes["p"] * rate + 0.25)
-    telling = counts.filter((F.col("p") >= LEAST_TEXTS) & (F.col("p") / sizes["p"] >= LEAST_RATIO * rate) & (excess >= LEAST_DEVIATION))
-    wanted = {r["feature"]: i for i, r in enumerate(telling.orderBy(excess.desc(), "feature").limit(FEATURES).select("feature").collect())}
+    seen = map_arrow(sample.filter("p = 1"), _sample_rows(None), "doc_id bigint, p int, u int, places array<bigint>")
+    counts = seen.select(F.explode("places").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= LEAST_TEXTS)
+    found = sorted(map(tuple, counts.collect()))
+    often = copies.filter("n > 1").filter(F.col("n") * OFTEN >= (copies.agg(F.sum("n")).first()[0] or 0))
+    often = [r["doc_id"] for r in often.select("doc_id").collect()]  # at most OFTEN of them
+    each = texts if not often else texts.filter(~F.col("doc_id").isin(often)).unionByName(_one_each(texts.filter(F.col("doc_id").isin(often)), ["doc_id"]))
+    among, rows_seen = document_frequencies(each.select("text"), {feature: i for i, (feature, _) in enumerate(found)})
+    tell = telling(np.array([p for _, p in found], np.int64), sizes["p"], among, rows_seen)[:FEATURES]
+    wanted = {found[i][0]: place for place, i in enumerate(tell.tolist())}
     if not wanted:
         return empty
     rows = map_arrow(sample, _sample_rows(wanted), "doc_id bigint, p int, u int, places array<bigint>").collect()
@@ -169,6 +220,12 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     return Model(wanted, np.array([w for w, _ in models]), np.array([b for _, b in models]), prior) if models else empty
 
 
+def _one_each(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """One text per key, that with the smallest hash."""
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
+    return texts.groupBy(*keys).agg(first).select(*keys, "first.text")
+
+
 def _sample_rows(wanted: dict[int, int] | None):
     def rows(batch: pa.RecordBatch) -> dict:
         reader = Reader(wanted)

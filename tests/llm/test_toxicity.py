@@ -1,8 +1,10 @@
 """Toxicity on held-out documents and on planted ones."""
 
 import random
+import zlib
 
 import numpy as np
+import pytest
 
 from tasador.llm import toxicity as T
 from tasador.llm.queries import QUERIES
@@ -79,3 +81,34 @@ def test_sample_is_bounded(spark):
     table = spark.createDataFrame([d[:2] for d in docs], "doc_id bigint, text string")
     model = T.fit(table, spark.createDataFrame(labels, "doc_id bigint, toxic int"), positives=10, unlabelled=50)
     assert len(model.bias) == T.CLASSIFIERS and len(model.wanted) < 60
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_one_row_repeated(spark, repeated):
+    """One document that makes up most of the table changes neither the sample nor the verdicts on clean ones."""
+    docs, labels = planted(2000, seed=4, share=0.2)
+    labels = [(i, int(toxic)) for i, _, toxic in docs]
+    again = next(d for d in docs if d[2] == repeated and zlib.crc32(str(d[0]).encode()) % 4 != 2)
+    table = spark.createDataFrame([d[:2] for d in docs] + [again[:2]] * 9000, "doc_id bigint, text string")
+    out = {r["doc_id"]: r["predicted"] for r in T.scores(table, T.fit(table, spark.createDataFrame(labels, "doc_id bigint, toxic int"))).collect()}
+    clean = [out[i] for i, _, toxic in docs if not toxic]
+    bad = [out[i] for i, _, toxic in docs if toxic]
+    assert sum(clean) <= 0.02 * len(clean) and sum(bad) >= 0.9 * len(bad)
+
+
+def test_smallest_is_the_same_as_ordering_all(spark):
+    ids = spark.range(50_000).withColumnRenamed("id", "doc_id")
+    got = [r[0] for r in T.smallest(ids, 300).collect()]
+    want = ids.selectExpr("doc_id", "pmod(xxhash64(doc_id), 4611686018427387904) AS h").orderBy("h", "doc_id").limit(300)
+    assert got == [r[0] for r in want.collect()]
+
+
+def test_frequencies_cover_all_rows(spark):
+    docs, _ = planted(700, seed=6)
+    wanted = {f: i for i, f in enumerate(sorted({f for w in (b"blorg", b"kana", b"nothere") for f in T.word_features(w)}))}
+    table = spark.createDataFrame([d[1:2] for d in docs] + [(None,)], "text string").selectExpr("cast(text as binary) text").repartition(5)
+    among, rows = T.document_frequencies(table, wanted)
+    reader, want = T.Reader(wanted), np.zeros(len(wanted), int)
+    for _, text, _ in docs:
+        want[reader.features(text.encode())] += 1
+    assert among.tolist() == want.tolist() and rows == 701
