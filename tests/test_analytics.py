@@ -1,18 +1,24 @@
 """Features, intervals, enrichment, valuation and the model."""
 
 import datetime as dt
+import itertools
 import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tasador import schemas
+from tasador.operators import attribution as A
+from tasador.operators import boosting
 from tasador.operators import enrich as E
 from tasador.operators import features as X
 from tasador.operators import intervals as I
 from tasador.operators import model as M
+from tasador.operators.boosting import best_prefix, staged
+from tasador.operators.resample import resamples
 from tasador.operators.valuation import residual_value
 
 DAY = dt.date(2024, 6, 1)
@@ -116,7 +122,7 @@ def test_exact_median_with_two_common_values_at_the_middle(spark):
 
 def test_best_prefix():
     errors = [9, 8, 7, 7.5, 7.4, 7.2, 6, 5]
-    assert M.best_prefix(errors, patience=3) == 3 and M.best_prefix(errors, patience=4) == 8 and M.best_prefix([1.0]) == 1
+    assert best_prefix(errors, patience=3) == 3 and best_prefix(errors, patience=4) == 8 and best_prefix([1.0], patience=1) == 1
 
 
 @pytest.fixture(scope="module")
@@ -152,6 +158,84 @@ def test_kfold_and_importance(patterns):
     assert M.permutation_importance(model, patterns, DAY).first().FeatureName in ("Age", "Kms")
 
 
+def test_staged_fit_is_a_prefix_of_the_whole_fit(patterns):
+    """Allowed 7,531 trees, the fit ends `patience` past its best; the trees are those of the library's own fit."""
+    parts = M.split(patterns).withColumn("Price", F.when(F.col("held"), F.col("Price") + 4000 * F.rand(3)).otherwise(F.col("Price")))
+    table = M.assembled(parts)
+    params, fitted = {**M.PARAMS, "depth": 3, "learning_rate": 0.4}, []
+    plain = boosting.DecisionTreeRegressor.fit
+    boosting.DecisionTreeRegressor.fit = lambda self, *args: fitted.append(1) or plain(self, *args)
+    try:
+        model = staged(table.rows, table.trainer(params, 1), "held", len(M.FEATURES), patience=6, block=4)
+    finally:
+        boosting.DecisionTreeRegressor.fit = plain
+    best = model.getNumTrees
+    assert len(fitted) == best + 6 < 100
+    whole = table.trainer({**params, "iterations": len(fitted)}, 1).fit(table.rows.filter("not held"))
+    assert [t.toDebugString.split("\n")[1:] for t in model.trees] == [t.toDebugString.split("\n")[1:] for t in whole.trees[:best]]
+    assert model.treeWeights == whole.treeWeights[:best]
+    errors = whole.evaluateEachIteration(table.rows.filter("held"), "squared")
+    assert min(range(len(errors)), key=errors.__getitem__) + 1 == best
+    assert model.evaluateEachIteration(table.rows.filter("held"), "squared") == pytest.approx(errors[:best])
+    assert sum(model.featureImportances.toArray()) == pytest.approx(1)
+
+
+def test_contributions_add_up_and_equal_brute_force(patterns):
+    model = M.train(patterns, {"iterations": 3, "depth": 3, "learning_rate": 0.4})
+    rows = M.explained(model, patterns).collect()
+    assert all(r.prediction == pytest.approx(r.base + sum(r.contributions)) for r in rows) and len(rows) == 600
+    trees = A.trees_of(patterns.sparkSession, model.stages[-1])
+    used = sorted({int(f) for t in trees for f in t.feature if f >= 0})
+    vectors = [r.features.toArray() for r in model.transform(patterns).limit(5).collect()]
+
+    def value(x, known):
+        """Prediction with only some features known: both sides of other splits, by their shares."""
+
+        def below(t, node):
+            if t.left[node] < 0:
+                return t.value[node]
+            f, sides = t.feature[node], (t.left[node], t.right[node])
+            if f in known:
+                own = x[f] <= t.threshold[node] if t.categories[node] is None else x[f] in t.categories[node]
+                return below(t, sides[0] if own else sides[1])
+            return sum(t.cover[s] / t.cover[node] * below(t, s) for s in sides)
+
+        return sum(t.weight * below(t, 0) for t in trees)
+
+    for x in vectors:
+        want = [0.0] * len(M.FEATURES)
+        for f in used:
+            others = [g for g in used if g != f]
+            for size in range(len(others) + 1):
+                for known in itertools.combinations(others, size):
+                    share = math.factorial(size) * math.factorial(len(used) - size - 1) / math.factorial(len(used))
+                    want[f] += share * (value(x, {*known, f}) - value(x, set(known)))
+        got = np.zeros((1, len(x)))
+        for t in trees:
+            A.add_contributions(t, A.leaves(t)[0], x[None, :], got)
+        assert got[0].tolist() == pytest.approx(want)
+    ranked = M.attribution(model, patterns, DAY).collect()
+    assert ranked[0].FeatureName in ("Age", "Kms") and len(ranked) == len(M.FEATURES)
+    held = M.held_importance(model, M.split(patterns).filter("held").drop("held"), DAY)
+    assert held.agg(F.sum("Importances")).first()[0] == pytest.approx(100) and held.first().FeatureName in ("Age", "Kms")
+
+
+def test_resamples_are_exact_and_do_not_depend_on_partitions(patterns):
+    many = patterns.unionByName(patterns.limit(200)).unionByName(patterns.filter("Brand = 'A'"))
+    total = many.count()
+    one = resamples(many.repartition(7), 20, rows_per_bucket=50)
+    two = resamples(many.repartition(2, "Kms").orderBy("Price"), 20, rows_per_bucket=50)
+    assert {(tuple(r.draws), *r[1:]) for r in one.select("draws", *patterns.columns).collect()} == {(tuple(r.draws), *r[1:]) for r in two.select("draws", *patterns.columns).collect()}
+    drawn = [r.draws for r in one.collect()]
+    assert [sum(d[i] for d in drawn) for i in range(20)] == [total] * 20
+    assert len(drawn) == patterns.distinct().count()
+    # A row that comes k times is drawn k times on average.
+    often = many.groupBy(*patterns.columns).agg(F.count(F.lit(1)).alias("k"))
+    means = one.join(often, patterns.columns).groupBy("k").agg(F.avg(F.aggregate("draws", F.lit(0), lambda a, d: a + d) / 20).alias("mean")).collect()
+    assert len(means) > 1 and all(abs(r["mean"] - r["k"]) < 0.15 * r["k"] for r in means)
+    assert resamples(many.limit(0), 3).collect() == []
+
+
 def test_patience_drops_the_trees_that_do_not_help(patterns):
     """Held rows of a shuffled target are not helped by any tree, so few stay."""
     parts = M.split(patterns).withColumn("Price", F.when(F.col("held"), F.rand(3) * 30000).otherwise(F.col("Price")))
