@@ -16,7 +16,7 @@ from tasador.functions import fields
 from tasador.operators import bronze as B
 from tasador.plans import silver as S
 from tasador.session import shared_dir
-from tasador.sources import pages, sinks, sites, tables
+from tasador.sources import bucketed, pages, sinks, sites, tables
 
 DAY = AS_OF[:10]
 
@@ -410,6 +410,15 @@ def brz_key_distinct(spark, sf_dir):
     return B.append_batch(*_batches(spark, sf_dir))
 
 
+@register("brz_bucketed", f"{cte('bronze')}, {_BOTH} {_KEY_DISTINCT}")
+def brz_bucketed(spark, sf_dir):
+    """The same by a table in buckets, that grows by one batch and then by the other."""
+    table = f"{shared_dir(spark).rstrip('/')}/check-{uuid.uuid4().hex}"
+    for batch in _batches(spark, sf_dir):
+        bucketed.append(batch, table, buckets=16)
+    return B.project(bucketed.read(spark, table))
+
+
 @register("brz_project", f"{cte('bronze')} SELECT {_B} FROM bronze")
 def brz_project(spark, sf_dir):
     return B.project(view(spark, sf_dir, "bronze"))

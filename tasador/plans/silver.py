@@ -19,6 +19,7 @@ from tasador import schemas
 from tasador.functions import rules
 from tasador.functions.text import capitalise, drop_text, fold_accents, number, respell, strip
 from tasador.operators.keyed import keep_last, lookup
+from tasador.operators.numbers import with_number
 from tasador.operators.steps import counted
 
 # Spelling repairs of the segment dictionary; fixed values.
@@ -194,6 +195,12 @@ def with_ids(df: DataFrame, bits: int = 224) -> DataFrame:
     )
 
 
+def with_registry_ids(df: DataFrame, folder: str) -> DataFrame:
+    """Vehicle numbers from the registry in `folder`: dense, one per vehicle, the same on every run."""
+    parts = [F.col(n) for n in schemas.VEHICLE_PARTS]
+    return with_number(df.drop("VehicleId"), F.unhex(rules.digest(parts)), folder, "VehicleId").select(*df.columns)
+
+
 def estimate_kms(df: DataFrame, ratios: DataFrame, site: str = "CICAR") -> DataFrame:
     """For one site, distance = age x the segment's yearly distance.  Off unless called."""
     joined = lookup(df, ratios.select("Segment", "Ratio_Kms_Age"), ["Segment"])

@@ -1,9 +1,9 @@
 """The batch append of `operators.bronze`, run once per micro-batch.
 
-A listing table grows by re-reading it, adding the batch, keeping one row per
-key and replacing the table.  The replacement is versioned, so a batch that is
-replayed after a failure meets either the old or the new version; both give the
-same rows, because appending a batch twice changes nothing.
+The table is bucketed by key (`sources.bucketed`): a micro-batch rewrites only the
+buckets in which it changes a row.  A batch that is replayed after a failure meets
+either the old or the new version; both give the same rows, because appending a
+batch twice changes nothing.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tasador import schemas
-from tasador.operators.bronze import append_batch
-from tasador.sources import sinks
+from tasador.sources import bucketed
 
 
 def append_files(
@@ -24,21 +23,19 @@ def append_files(
     table: str,
     checkpoint: str,
     keys: Sequence[str] = schemas.LISTING_KEY,
+    buckets: int = bucketed.BUCKETS,
 ) -> StreamingQuery:
-    """Append Parquet files of raw listings that appear in `source` to the versioned `table`.
+    """Append Parquet files of raw listings that appear in `source` to the bucketed `table`.
 
     Takes all files that are there and ends; call it again for the next ones.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        known = bool(sinks.versions(session, table))
-        old = sinks.read_current(session, table) if known else session.createDataFrame([], schemas.BRONZE)
-        sinks.overwrite_growing(append_batch(old, batch, keys), table)
+    def add(batch: DataFrame, _: int) -> None:
+        bucketed.append(batch, table, keys, buckets)
 
     stream = spark.readStream.schema(schemas.BRONZE).parquet(source)
     return (
-        stream.writeStream.foreachBatch(replace)
+        stream.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

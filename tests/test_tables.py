@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tasador import schemas
 from tasador.operators import bronze as B
 from tasador.plans import pricelist as P
-from tasador.sources import pages, sinks, sites, tables
+from tasador.sources import bucketed, pages, sinks, sites, tables
 
 
 def batch(spark, rows):
@@ -134,5 +134,49 @@ def test_stream_appends_each_file_once(spark, tmp_path):
     for rows in (typed, typed.limit(1)):
         rows.write.mode("append").parquet(source)
         append_files(spark, source, table, state).awaitTermination()
-    assert sinks.versions(spark, table) == [1, 2]
-    assert sinks.read_current(spark, table).count() == 2
+    # The second file holds nothing new, so nothing is written.
+    assert sinks.versions(spark, f"{table}/versions") == [1]
+    assert bucketed.read(spark, table).count() == 2
+
+
+def many(spark, numbers, day, web="w"):
+    return batch(spark, [(f"Brand {i}", "m", "1", "n", "p", "2019", "5", dt.date(2024, 5, day), web) for i in numbers])
+
+
+def test_buckets_a_batch_does_not_change_keep_their_files(spark, tmp_path):
+    table = str(tmp_path / "listings")
+    assert bucketed.read(spark, table).count() == 0
+    assert bucketed.append(many(spark, range(200), 10), table, buckets=8) == list(range(8))
+    before = bucketed.paths(spark, table)
+    # Later sightings and a replay change nothing; a new key and an earlier sighting change their buckets.
+    assert bucketed.append(many(spark, range(200), 12, "later"), table) == []
+    assert bucketed.append(many(spark, range(200), 10), table) == []
+    assert sinks.versions(spark, f"{table}/versions") == [1]
+    late = many(spark, [7], 3, "earlier").unionByName(many(spark, [999], 11)).unionByName(many(spark, range(50), 12, "later"))
+    touched = bucketed.append(late, table)
+    after = bucketed.paths(spark, table)
+    assert 1 <= len(touched) <= 2 and {b for b in after if after[b] != before[b]} == set(touched)
+    rows = {r.Marca: (r.ExtractedDate.day, r.Web) for r in bucketed.read(spark, table).collect()}
+    assert len(rows) == 201 and rows["Brand 7"] == (3, "earlier") and rows["Brand 999"] == (11, "w") and rows["Brand 8"] == (10, "w")
+    assert bucketed.append(late, table) == []
+    want = B.append_batch(B.append_batch(many(spark, range(200), 10), late), many(spark, [], 1))
+    assert {(r.Marca, r.Web) for r in want.collect()} == {(k, w) for k, (_, w) in rows.items()}
+
+
+def test_bucketed_table_edges(spark, tmp_path):
+    """Null keys and dates, rows that repeat or differ only outside the key, columns that come later, empty batches, old versions."""
+    table = str(tmp_path / "listings")
+    assert bucketed.append(batch(spark, []), table, buckets=4) == []
+    odd = batch(spark, [(None,) * 9, (None,) * 9, ("Kia", None, "1", "n", "p", "2019", "5", None, "b"), ("Kia", None, "1", "n", "p", "2019", "5", dt.date(2024, 5, 1), "a")])
+    bucketed.append(odd, table, buckets=4)
+    assert sorted((r.Marca or "", r.Web or "", r.ExtractedDate) for r in bucketed.read(spark, table).collect()) == [("", "", None), ("Kia", "b", None)]
+    # Of two sightings of one day the smaller row stays, whichever came first.
+    for web in ("m", "k", "z"):
+        bucketed.append(many(spark, [1], 4, web), table)
+    grown = many(spark, range(2, 40), 4).withColumn("Extra", F.lit(1))
+    bucketed.append(grown, table)
+    rows = bucketed.read(spark, table)
+    assert rows.filter("Marca = 'Brand 1'").first().Web == "k"
+    assert rows.filter("Extra = 1").count() == 38 and rows.filter("Extra is null").count() == 3
+    bucketed.forget(spark, table, keep=1)
+    assert len(sinks.versions(spark, f"{table}/versions")) == 1 and bucketed.read(spark, table).count() == 41
