@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasador.llm.common import held_out, map_arrow, stored
+from tasador.operators.keyed import lookup
 
 UNKNOWN = "und"
 SAMPLE = 1_000
-"""Training documents of a language at most: those whose ids have the smallest hashes.  Up to this number
-Spark cuts the ranking off in every input partition, so that a frequent language is no hot key."""
+"""Training documents of a language at most: those whose ids have the smallest hashes."""
+LEAST_DOCUMENTS = 5
+"""Values of `lang` that fewer documents have are no languages to learn."""
 BROADCAST_IDS = 1_000_000
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
@@ -215,19 +217,37 @@ class Labeller:
         return [(a, b, self.model.languages[path[i]]) for a, b, i in zip(starts, [*starts[1:], len(text)], first)]
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
+def _sample_ids(known: DataFrame, sample: int, least: int) -> DataFrame:
+    """(_id, _lang): the `sample` ids of every language with the smallest hashes, of languages that have `least` at all.
+
+    A threshold per language, got from the number of its ids, leaves about twice as
+    many before any are put in order, so no task sees a whole language.
+    """
+    ids = stored(known.select("doc_id", "lang").distinct(), "language-all-ids")
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least)
+    low = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52))
+    near = lookup(ids, stored(sizes, "language-sizes"), ["lang"], "inner").filter(low <= F.least(F.lit(1.0), (2 * sample + 1000) / F.col("_n")) * (1 << 52))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(low, "doc_id"))
+    chosen = near.withColumn("rank", rank).filter(F.col("rank") <= sample)
+    return stored(chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")), "language-ids")
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, least: int = LEAST_DOCUMENTS) -> Model:
     """Learn from at most `sample` documents of every language, held-out ones aside.
 
-    Rows without language or text are left out, and so are rows without an id.
-    What reaches the driver is a count per n-gram bucket and language.
+    Rows without language or text are left out, and so are rows without an id and
+    values of `lang` that fewer than `least` different ids have: from those no
+    language can be learned, and there may be any number of them.  What reaches the
+    driver is a count per n-gram bucket and language.
     """
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text").filter("doc_id is not null and lang is not null and text is not null")
     known = known.filter(~held_out(F.col("doc_id")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = known.select("doc_id", "lang").distinct().withColumn("rank", rank).filter(F.col("rank") <= sample)
-    ids = stored(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")), "language-ids")
+    ids = _sample_ids(known, sample, least)
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    chosen = stored(known.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text"), "language-sample")
+    chosen = known.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+    # One text per id and language, so that a repeated row is read once.
+    chosen = chosen.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    chosen = stored(chosen.select("lang", "first.text"), "language-sample")
 
     def rows(batch: pa.RecordBatch) -> dict:
         by_language: dict[str, list[str]] = {}
@@ -248,12 +268,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
             out["n"] += counts[seen].tolist()
         return out
 
-    counted = map_arrow(chosen, rows, "lang string, place bigint, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r["lang"] for r in counted})
-    counts = np.zeros((len(languages), BUCKETS + len(NAMES)))
+    counted = map_arrow(chosen, rows, "lang string, place bigint, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n")).toArrow()
+    names = counted.column("lang").combine_chunks().dictionary_encode()
+    languages = sorted(names.dictionary.to_pylist())
     at = {lang: i for i, lang in enumerate(languages)}
-    for r in counted:
-        counts[at[r["lang"]], r["place"]] = r["n"]
+    line = np.array([at[lang] for lang in names.dictionary.to_pylist()], np.int64)
+    counts = np.zeros((len(languages), BUCKETS + len(NAMES)))
+    counts[line[names.indices.to_numpy()], counted.column("place").to_numpy()] = counted.column("n").to_numpy()
     grams, scripts = counts[:, :BUCKETS], counts[:, BUCKETS:]
     shares = scripts / np.maximum(1, scripts.sum(axis=1, keepdims=True))
     return Model(languages, np.log((grams + PRIOR) / (grams.sum(axis=1, keepdims=True) + PRIOR * BUCKETS)), (shares >= LEAST_SHARE).T)

@@ -65,9 +65,13 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
     The draw inverts the Poisson distribution of the source's rate at a hash of
     seed, id and text: it is the same in any run and on any cluster, and repeated
     rows have the same draw.  Columns: those of `docs`, then `part`, `copy`
-    (which repetition; part is 1 for rates up to 64) and `order_key`, the hash
-    that orders the copies within a partition; columns of `docs` with these
-    names are replaced.  A source whose rate is 0, or is not in `rates`, is left out.
+    (which repetition; part is 1 for rates up to 64) and `order_key`, a hash of
+    both and the row's content; columns of `docs` with these names are replaced.  A
+    source whose rate is 0, or is not in `rates`, is left out.
+
+    The order is that of a hash of `order_key` and the row's place in `docs`, so
+    that rows that are equal, also a third of all, go to places of their own.  The
+    places have to repeat where a task runs again, as those of tables read from files do.
 
     The rates are joined by broadcast while there are few sources; beyond that
     the documents of a source are dealt to `SALTS` keys, as one source may have
@@ -78,21 +82,22 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
     ready = rates.filter("rate > 0").select(F.col("source").alias("_source"), F.ceil(F.col("rate") / PART_RATE).alias("_parts"), "rate")
     ready = stored(ready.select("_source", "_parts", poisson_steps(F.col("rate") / F.col("_parts")).alias("_steps")), "rates")
     identity = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col("source").alias("_of"), identity.alias("_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col("source").alias("_of"), identity.alias("_key"), F.monotonically_increasing_id().alias("_no"))
     same = F.col("_of").eqNullSafe(F.col("_source"))
     if ready.count() <= BROADCAST_SOURCES:
         met = rows.join(F.broadcast(ready), same)
     else:
         salted = ready.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         met = rows.withColumn("_deal", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int")).join(salted, same & (F.col("_deal") == F.col("_salt")))
-    parts = met.select("_row", "_key", "_steps", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_parts"))).alias("part"))
+    parts = met.select("_row", "_key", "_no", "_steps", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_parts"))).alias("part"))
     drawn = parts.withColumn("_u", _uniform(F.col("_key"), F.col("part").cast("string")))
     times = F.size(F.filter("_steps", lambda upto: upto <= F.col("_u"))).cast("bigint")
-    counted = drawn.select("_row", "_key", "part", times.alias("_times")).filter("_times > 0")
-    copies = counted.select("_row", "_key", "part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))).alias("copy"))
+    counted = drawn.select("_row", "_key", "_no", "part", times.alias("_times")).filter("_times > 0")
+    copies = counted.select("_row", "_key", "_no", "part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))).alias("copy"))
     order = F.substring(F.md5(F.concat_ws("|", F.lit("order"), "_key", F.col("part").cast("string"), F.col("copy").cast("string"))), 1, 15)
-    keyed = copies.select(*[F.col("_row")[n].alias(n) for n in names], "part", "copy", F.conv(order, 16, 10).cast("bigint").alias("order_key"))
-    return keyed.repartition("order_key").sortWithinPartitions("order_key")
+    keyed = copies.select(*[F.col("_row")[n].alias(n) for n in names], "part", "copy", F.conv(order, 16, 10).cast("bigint").alias("order_key"), "_no")
+    placed = keyed.withColumn("_place", F.xxhash64("order_key", "_no")).drop("_no")
+    return placed.repartition("_place").sortWithinPartitions("_place").drop("_place")
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, total: float | None = None, seed: int = SEED, alpha: float = ALPHA) -> DataFrame:

@@ -91,23 +91,22 @@ def ngrams(hashes: Column, buckets: int = BUCKETS) -> Column:
     return F.transform(F.concat(hashes, _runs(hashes, 2)), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, trusted_limit: int | None = None) -> DataFrame:
+def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
     """(bucket, weight): log ratio of a bucket's share in the trusted texts to its share in all.
 
     The raw multinomial counts every n-gram of every document, the trusted one
     those of every document whose id is in `trusted` (doc_id).  Both are shuffled,
     whatever their size, so a small table is joined as a large one is, and no
-    list of ids is held whole.  A caller may ask for the `trusted_limit` ids with
-    the smallest hash instead.  `prior` expected occurrences are added
+    list of ids is held whole; documents without an id are dealt by their text.
+    `prior` expected occurrences are added
     to each bucket on both sides, so a bucket seen rarely says little.  Without
     trusted texts all weights are 0.  A bucket that no text has is left out.
     """
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).dropna().distinct()
-    if trusted_limit is not None:
-        ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(trusted_limit)
     # Texts are joined, not their hashes, which take half as much again in a shuffle.
-    known = docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
-    read = barrier(known.select(F.col("trusted_id").isNotNull().alias("target"), word_hashes(words(F.col("text"))).alias("hashes")))
+    dealt = docs.select("text", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("_id"), F.col("doc_id").isNull().alias("_none"))
+    known = dealt.join(ids.hint("merge"), F.col("_id") == F.col("trusted_id"), "left")
+    read = barrier(known.select((F.col("trusted_id").isNotNull() & ~F.col("_none")).alias("target"), word_hashes(words(F.col("text"))).alias("hashes")))
     grams = read.select("target", F.explode(ngrams(F.col("hashes"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target"))
     counts = stored(counts, "ngrams")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -10,7 +9,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tasador.llm.common import map_arrow, stored
 from tasador.llm.components import components
@@ -133,24 +131,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, do
 def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
     """One row of every near-duplicate group, with all columns of `docs`: that of the smallest doc_id.
 
-    Of rows that share this id, those with the smallest fingerprint are looked at
-    and the row with the smallest hash over all columns stays.  Of a group without
-    ids a row is chosen in the same way.  Groups are settled on ids and
-    fingerprints; whole rows are shuffled once, by both.
+    Of rows that share this id the one with the smallest fingerprint stays, then the
+    one with the smallest hash of its text, then of all columns.  Of a group without
+    ids a row is chosen in the same way.  Texts are fingerprinted once: groups are
+    settled on ids, fingerprints and text hashes, by which whole rows are met again
+    and shuffled once.
     """
-    own = stored(fingerprints(docs, shingle), "fingerprints")
+    read = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("h"), F.col("text").cast("binary"))
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch.column(0), "h": batch.column(1), "fp": [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]}
+
+    own = stored(map_arrow(read, rows, "doc_id bigint, h bigint, fp bigint"), "fingerprints")
     found = grouped(own, max_distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keys = found.groupBy("root").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("id"))
-    keys = keys.select(F.coalesce("id", F.lit(0)).alias("k_id"), F.col("id").isNull().alias("k_null"), F.col("fp").alias("k_fp"))
-    whole = F.struct(*[F.col(f"`{n}`") for n in docs.columns])
-    packed = docs.select(whole.alias("whole"), F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
-    schema = StructType([packed.schema["whole"], packed.schema["id"], StructField("fp", LongType())])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = pa.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], names=["whole", "id", "fp"])
-
-    rows = packed.mapInArrow(add, schema).select("whole", F.coalesce("id", F.lit(0)).alias("k_id"), F.col("id").isNull().alias("k_null"), F.col("fp").alias("k_fp"))
-    key = ["k_id", "k_null", "k_fp"]
-    return rows.join(keys, key, "left_semi").groupBy(*key).agg(F.min_by("whole", F.xxhash64("whole")).alias("whole")).select("whole.*")
+    keys = found.groupBy("root").agg(F.min(F.struct("fp", "h")).alias("best"), F.min("doc_id").alias("id"))
+    keys = keys.select(F.coalesce("id", F.lit(0)).alias("k_id"), F.col("id").isNull().alias("k_null"), F.col("best.h").alias("k_h"))
+    whole = F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("whole")
+    id_ = F.col("doc_id").cast("bigint")
+    packed = docs.select(whole, F.coalesce(id_, F.lit(0)).alias("k_id"), id_.isNull().alias("k_null"), F.xxhash64("text").alias("k_h"))
+    key = ["k_id", "k_null", "k_h"]
+    return packed.join(keys, key, "left_semi").groupBy(*key).agg(F.min_by("whole", F.xxhash64("whole")).alias("whole")).select("whole.*")

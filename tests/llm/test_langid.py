@@ -72,7 +72,7 @@ def test_viterbi_is_the_best_path():
 
 def test_scripts_narrow_the_candidates(spark):
     rows = [(i, "the cat sat on the mat", "en") for i in range(8)] + [(10 + i, "кот сидит на коврике дома", "ru") for i in range(8)] + [(20 + i, "kot siedzi na macie w domu", "pl") for i in range(8)]
-    model = L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    model = L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), least=1)
     labeller = L.Labeller(model)
     assert labeller.languages(["жук", "the жук the the", "日本", "½ ² 12 _", None, "", "Ⅷ"]) == [
         ("ru", 1.0), ("en", 9 / 12), labeller.languages(["日本"])[0], (L.UNKNOWN, 0.0), (L.UNKNOWN, 0.0), (L.UNKNOWN, 0.0), (L.UNKNOWN, 0.0),
@@ -94,3 +94,18 @@ def test_edges(spark, model):
 def test_only_training_rows_count(docs, model):
     again = L.fit(docs.filter("crc32(cast(doc_id as string)) % 4 != 2"))
     assert again.languages == model.languages and np.array_equal(again.grams, model.grams)
+
+
+def test_many_values_of_lang(spark):
+    """Values that next to no document has are no languages; a value that most have is sampled as ever."""
+    rows = [(i, "the cat sat on the mat", "en") for i in range(5000)] + [(9000 + i, "el gato come pescado", "es") for i in range(30)]
+    rows += [(20_000 + i, "x y z", f"junk{i % 2000}") for i in range(4000)] + [(1, "the cat sat on the mat", "en")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(16)
+    model = L.fit(docs, sample=20)
+    assert model.languages == ["en", "es"]
+    ids = L._sample_ids(docs.filter("crc32(cast(doc_id as string)) % 4 != 2"), 20, 5).collect()
+    by_language = {lang: {r["_id"] for r in ids if r["_lang"] == lang} for lang in ("en", "es")}
+    assert [len(v) for v in by_language.values()] == [20, 20]
+    plain = spark.sql("select doc_id, pmod(xxhash64(doc_id), 4503599627370496) h from {d} where lang = 'en' and crc32(cast(doc_id as string)) % 4 != 2", d=docs).distinct()
+    assert by_language["en"] == {r["doc_id"] for r in plain.orderBy("h", "doc_id").limit(20).collect()}
+    assert len(L.fit(docs, sample=20, least=1).languages) > 1000

@@ -1,10 +1,12 @@
 """Poisson mixing against a plain computation."""
 
 import hashlib
+import itertools
 import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tasador.llm import mixing as M
 
@@ -80,3 +82,20 @@ def test_order_is_random_and_repeats(spark):
     assert first == again
     rises = sum(a < b for a, b in zip(first, first[1:])) / len(first)
     assert 0.4 < rises < 0.6
+
+
+def test_equal_rows_are_mixed_and_spread(spark):
+    """A third of all rows equal: they lie in all partitions and between the others."""
+    docs = spark.createDataFrame([(None, None, "a")] * 1000 + [(i, f"text {i}", "a") for i in range(2000)], "doc_id bigint, text string, source string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for seed in range(20):  # equal rows have one draw, which may be 0
+            rows = M.mix(docs, seed=seed).select("doc_id", F.spark_partition_id().alias("part")).collect()
+            share = sum(r["doc_id"] is None for r in rows) / len(rows)
+            if share:
+                break
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [[r["doc_id"] is None for r in rows if r["part"] == p] for p in range(4)]
+    assert share > 0.2 and all(abs(sum(p) / len(p) - share) < 0.1 for p in parts)
+    assert max(len(list(run)) for p in parts for same, run in itertools.groupby(p) if same) < 30

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tasador.llm import quality as Q
 from tasador.llm.queries import QUERIES
@@ -99,10 +100,12 @@ def test_filter_keeps_every_column(spark):
     assert [tuple(r) for r in got.collect()] == [(1, text, "x", 3.5, None)] * 2
 
 
-def test_trusted_list_is_bounded_by_a_parameter(spark):
-    docs = spark.createDataFrame([(i, f"word{i} other{i}") for i in range(6)], "doc_id bigint, text string")
-    weights = Q.fit_weights(docs, docs.select("doc_id"), trusted_limit=1).collect()
-    assert sum(w["weight"] > 0 for w in weights) <= 3 < len(weights)
+def test_documents_without_an_id_are_never_trusted(spark):
+    docs = spark.createDataFrame([(1, "good words here")] + [(None, "bad words there")] * 50, "doc_id bigint, text string")
+    own = spark.createDataFrame([(1,), (None,)], "doc_id bigint")
+    got = {r["bucket"]: r["weight"] for r in Q.fit_weights(docs, own).collect()}
+    want = {r["bucket"]: r["weight"] for r in Q.fit_weights(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(2))), own).collect()}
+    assert got == want and min(got.values()) < 0 < max(got.values())
 
 
 def test_every_trusted_text_counts(spark):
