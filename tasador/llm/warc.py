@@ -12,8 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasador.llm.common import scratch
+from tasador.llm.common import scratch, stored
 from tasador.llm.tokenfile import place
+from tasador.operators.keyed import BROADCAST_ROWS, fits_broadcast, lookup
 
 CHUNK = 1 << 18
 """Bytes of payload in a row of the chunk table."""
@@ -28,43 +29,90 @@ READ = (
 )
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """One row per page: its payload, the payload's digest, and whether an earlier page has stored it.
+CHUNKS = "record bigint, page_id bigint, url string, payload_bytes bigint, payload_digest string, chunk_no bigint, data binary, bytes_so_far bigint, digest_so_far string"
 
-    Columns: page_id, url, payload, payload_bytes, payload_digest, record_type and
-    refers_to.  Of pages with equal payloads of at least 100 bytes the one with the
-    smallest page_id is the response and the others revisit it; rows that share
-    that id are all responses, as are pages without an id if no other has the
-    payload.  A page without an id revisits one that has an id.  Null html is an
-    empty payload.
 
-    Who revisits whom is found on ids and digests; payloads are shuffled once, by
-    id and digest, which spreads the pages that share one.
+def chunk_table(pages: DataFrame, chunk: int = CHUNK, with_data: bool = True) -> DataFrame:
+    """`pages` (page_id, url, html) as rows of at most `chunk` payload bytes: record and chunk number, data, what the chunks so far add up to.
+
+    The payload is the html in UTF-8, of no bytes if null; null urls are empty; other
+    columns are not read.  Every chunk is a view of the page as it arrived and
+    updates one running digest, so no payload is copied or digested whole, and
+    no row after this one is larger than a chunk.  The rows of a record follow each
+    other.  `with_data=False` gives the last row of every record, without data.
+    """
+    kinds = {
+        "record": pa.int64(), "page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "chunk_no": pa.int64(),
+        "data": pa.binary(), "bytes_so_far": pa.int64(), "digest_so_far": pa.string(),
+    }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                view = memoryview(batch.column(3)[i].as_buffer())
+                ends = [min(len(view), a + chunk) for a in range(0, max(1, len(view)), chunk)]
+                digest, so_far = hashlib.sha256(), []
+                for a, b in zip([0, *ends], ends):
+                    digest.update(view[a:b])
+                    so_far.append(digest.hexdigest())
+                row = {"record": batch.column(0)[i].as_py(), "page_id": batch.column(1)[i].as_py(), "url": batch.column(2)[i].as_py(), "payload_bytes": len(view), "payload_digest": so_far[-1]}
+                for number, (a, b) in enumerate(zip([0, *ends], ends)):
+                    if with_data or b == len(view):
+                        rows.append(row | {"chunk_no": number, "data": view[a:b].tobytes() if with_data else None, "bytes_so_far": b, "digest_so_far": so_far[number]})
+                        held += b - a if with_data else 0
+                    if len(rows) == 1000 or held >= 16 * chunk:
+                        yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+                        rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+    read = pages.select(
+        F.monotonically_increasing_id().alias("record"), F.col("page_id").cast("bigint"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
+        F.coalesce("html", F.lit("")).cast("binary").alias("payload"),
+    )
+    return read.mapInArrow(run, CHUNKS)
+
+
+_RECORD = ["_id", "_none", "payload_digest"]
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Null page ids as keys that can be joined."""
+    return rows.withColumns({"_id": F.coalesce("page_id", F.lit(0)), "_none": F.col("page_id").isNull()})
+
+
+def revisits(digests: DataFrame) -> DataFrame:
+    """(_id, _none, payload_digest, refers_to) of the records of (page_id, payload_bytes, payload_digest) whose payload another one stores.
+
+    Of pages with equal payloads of at least 100 bytes the one with the smallest
+    page_id is the response and the others revisit it; rows that share that id
+    are all responses, as are pages without an id if no other has the payload.  A page
+    without an id revisits one that has an id.  Copies fold to one row per input
+    partition before ids and digests are shuffled.
     """
-    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    own = pages.select(F.col("page_id").cast("bigint"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
-    own = own.withColumn("payload_bytes", F.octet_length("payload").cast("bigint")).withColumn("payload_digest", F.sha2("payload", 256))
-    # Copies fold to one row per input partition before they are shuffled; a digest's ids are Spark's to split.
-    ids = own.filter(F.col("payload_bytes") >= SHARED_FROM).select("page_id", "payload_digest").distinct()
+    ids = stored(digests.filter(F.col("payload_bytes") >= SHARED_FROM).select("page_id", "payload_digest").distinct(), "payload-digests")
     first = ids.groupBy(F.col("payload_digest").alias("_of")).agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = ids.join(first, F.col("payload_digest") == F.col("_of")).filter(F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to")))
-    later = later.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), "refers_to")
-    met = own.join(later, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("payload_digest") == F.col("_digest")), "left")
-    kind = F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type")
-    return met.select("page_id", "url", "payload", "payload_bytes", "payload_digest", kind, "refers_to")
+    return stored(_named(later).select(*_RECORD, "refers_to"), "revisits")
 
 
-def chunk_table(found: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """`records` as rows of at most `chunk` payload bytes: the record's columns, chunk number, data.
+def records(pages: DataFrame, chunk: int = CHUNK, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The chunk table of `pages` with `record_type` and `refers_to`; a revisit is one row without data.
 
-    The rows of a record follow each other.  A revisit stores no payload and is
-    one row without data, as is an empty payload.
+    Who revisits whom is settled on the records' last rows.  While the revisits are
+    few enough to be broadcast (their size is measured) chunks stay where they are
+    and none is shuffled; beyond that chunks meet them in a salted join and
+    those of responses are put in order by record and number.
     """
-    stored = F.when(F.col("record_type") == "revisit", F.lit(0).cast("bigint")).otherwise(F.col("payload_bytes"))
-    last = F.greatest(F.lit(0).cast("bigint"), F.floor((stored - 1) / chunk).cast("bigint"))
-    numbered = found.withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    data = F.when(stored > 0, F.substring("payload", (F.col("chunk_no") * chunk + 1).cast("int"), F.lit(chunk))).otherwise(F.lit(b""))
-    return numbered.withColumn("data", data).select("page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "chunk_no", "data")
+    later = revisits(chunk_table(pages, chunk, with_data=False))
+    chunks = _named(chunk_table(pages, chunk))
+    in_place = fits_broadcast(later, max_rows)
+    met = chunks.join(F.broadcast(later), _RECORD, "left") if in_place else lookup(chunks, later, _RECORD, max_rows=0)
+    again = F.col("refers_to").isNotNull()
+    met = met.filter(~again | (F.col("chunk_no") == 0)).drop("_id", "_none")
+    met = met.withColumns({"record_type": F.when(again, "revisit").otherwise("response"), "data": F.when(again, F.lit(b"")).otherwise(F.col("data"))})
+    return met if in_place else met.repartition("record").sortWithinPartitions("record", "chunk_no")
 
 
 def _identity(page_id: int | None, digest: str) -> str:
@@ -111,6 +159,8 @@ class ArchiveWriter:
             self.n_records += 1
         self._put(chunk["data"])
         self.left -= len(chunk["data"])
+        if chunk["record_type"] == "response" and not self.left and chunk.get("digest_so_far", chunk["payload_digest"]) != chunk["payload_digest"]:
+            raise ValueError("the chunks do not add up to the payload")
 
     def _put(self, data: bytes) -> None:
         if out := self.member.compress(data):
@@ -132,7 +182,7 @@ class ArchiveWriter:
 def write(chunks: DataFrame, folder: str) -> DataFrame:
     """Write a chunk table as archives under `folder`; (archive, n_records) of each.
 
-    The rows of a record follow each other in a partition, as `chunk_table` gives
+    The rows of a record follow each other in a partition, as `records` gives
     them; each partition becomes an archive, without another shuffle.
     """
     system, root = place(folder)
@@ -292,7 +342,7 @@ def pages_of(chunks: DataFrame) -> DataFrame:
 
 def archive(pages: DataFrame, folder: str, chunk: int = CHUNK) -> DataFrame:
     """Write `pages` (page_id, url, html; other columns are not read) and name the archives."""
-    return write(chunk_table(records(pages), chunk), folder)
+    return write(records(pages, chunk), folder)
 
 
 def written_and_read(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:

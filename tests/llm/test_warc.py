@@ -41,6 +41,28 @@ def test_round_trip(spark, chunk):
     assert {r["page_id"]: r["url"] for r in got}[5] == "u%0D%0AX: y"
 
 
+def test_round_trip_with_more_revisits_than_are_broadcast(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES * 3, SCHEMA).repartition(3)
+    rows = W.records(pages, 7_000, max_rows=0)
+    got = W.pages_of(W.read(W.write(rows, str(tmp_path / "w")), with_data=False)).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == expected(PAGES * 3)
+
+
+def test_rows_before_writing_are_bounded_and_carry_running_digests(spark):
+    """A long page is in rows of a chunk from the first step on, and copies of it take no data along."""
+    pages = spark.createDataFrame([(i, "u", HUGE * 3, 0) for i in range(6)], SCHEMA)
+    rows = W.records(pages, 5_000).collect()
+    payload = (HUGE * 3).encode()
+    assert max(len(r["data"]) for r in rows) == 5_000 and sum(len(r["data"]) for r in rows) == len(payload)
+    done = hashlib.sha256()
+    for i, r in enumerate(sorted((r for r in rows if r["record_type"] == "response"), key=lambda r: r["chunk_no"])):
+        done.update(r["data"])
+        assert (r["chunk_no"], r["digest_so_far"], r["payload_bytes"]) == (i, done.hexdigest(), len(payload))
+    assert done.hexdigest() == rows[0]["payload_digest"]
+    plan = W.records(pages, 5_000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_given_pages(spark):
     rows = [(*r, 0) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()]
     got = sorted((tuple(r)[:5] for r in QUERIES["op9_warc_archive"](spark, SF).collect()), key=str)
