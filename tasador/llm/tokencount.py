@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador.llm.common import map_arrow
-from tasador.llm.tokenizer import counts, edges, load
+from tasador.llm.tokenizer import counts, edges, encoder, load
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -107,6 +107,14 @@ def count_long(path: str, text: str, chunk: int = CHUNK, overlap: int = OVERLAP)
     return total + len(left.starts) - skipped
 
 
+def count_short(path: str, texts: list[str]) -> list[int]:
+    """Tokens of each whole text, put together from its words where the tokenizer allows that: a worker encodes a word once."""
+    words = encoder(path)
+    if not words.by_word:
+        return counts(path, texts)
+    return [len(ids) // words.kind.itemsize for ids in words.encode(texts)]
+
+
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, chunk: int = CHUNK, overlap: int = OVERLAP, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit), one row per row of `docs`.
 
@@ -120,7 +128,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, chunk: int = CH
 
     def rows(batch: pa.RecordBatch) -> dict:
         texts = batch.column(2).to_pylist()
-        short = iter(counts(path, [t for t in texts if len(t) <= chunk]))
+        short = iter(count_short(path, [t for t in texts if len(t) <= chunk]))
         return {
             "doc_id": batch.column(0),
             "n_bytes": batch.column(1),
