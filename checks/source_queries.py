@@ -508,7 +508,7 @@ def src_excel_dim(spark, sf_dir):
 
 @register("src_rows_schema", f"{cte('price_list')} SELECT \"Brand\", \"Model\", \"CV\", \"Fuel\", \"Price\", \"Features\", \"Segment\", \"StarDate\", \"EndDate\" FROM price_list")
 def src_rows_schema(spark, sf_dir):
-    return tables.typed_rows(spark, S.typed(view(spark, sf_dir, "price_list"), schemas.PRICE_LIST).rdd, schemas.PRICE_LIST)
+    return tables.typed_rows(spark, view(spark, sf_dir, "price_list"), schemas.PRICE_LIST)
 
 
 @register(

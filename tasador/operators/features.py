@@ -57,6 +57,10 @@ def dense(text: Column) -> Column:
     return F.regexp_replace(text, "[- ]", "")
 
 
+BROADCAST_PERCENT = 0.001
+"""Shares from here on leave at most 100,000 values."""
+
+
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(category, value, n) for several columns in one pass; a missing value is a value here."""
     pairs = F.array(*[F.struct(F.lit(n).alias("category"), F.col(n).alias("value")) for n in columns])
@@ -64,12 +68,16 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _frequent(counts: DataFrame, column: str, percent: float, strictly: bool) -> DataFrame:
-    """Values of one column above a share.  At most 100/percent values can be, so they always broadcast."""
+    """Values of one column above a share.
+
+    At most 100/percent values can be, so they are broadcast down to `BROADCAST_PERCENT`; below, the join is shuffled.
+    """
     own = counts.filter(F.col("category") == column)
     total = own.agg(F.sum("n")).first()[0] or 0
     share = 100 * F.col("n") / F.lit(total)
     known = own.filter(F.col("value").isNotNull() & ((share > percent) if strictly else (share >= percent)))
-    return F.broadcast(known.select(F.col("value").alias(column), F.lit(True).alias("_frequent")))
+    named = known.select(F.col("value").alias(column), F.lit(True).alias("_frequent"))
+    return F.broadcast(named) if percent >= BROADCAST_PERCENT else named
 
 
 def group_rare(df: DataFrame, labels: dict[str, str], percent: float = RARE_PERCENT) -> DataFrame:

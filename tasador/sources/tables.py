@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tasador import schemas
@@ -47,5 +48,12 @@ def read_settings(spark: SparkSession, path: str) -> dict:
     return spark.read.json(path, multiLine=True).first().asDict(recursive=True)
 
 
-def typed_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def typed_rows(spark: SparkSession, rows: DataFrame | Iterable, schema: T.StructType) -> DataFrame:
+    """Rows under a declared schema: a frame's columns by name, cast where they are, or rows of the program.
+
+    Values that do not fit their type, and columns a frame lacks, are null; further columns go.
+    """
+    if not isinstance(rows, DataFrame):
+        return spark.createDataFrame(rows, schema)
+    have = set(rows.columns)
+    return rows.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])

@@ -270,3 +270,10 @@ def test_bootstrap_ensemble(patterns, tmp_path):
     out = M.ensemble(paths, patterns)
     assert out.count() == patterns.count() and out.filter("deviation < 0 or deviation is null").count() == 0
     assert out.columns == [*patterns.columns, "prediction", "deviation"]
+
+
+def test_rare_values_of_a_share_too_small_to_broadcast(spark):
+    df = spark.createDataFrame([("a",)] * 8 + [("b",), (None,)], "Segment string")
+    assert sorted(str(r.Segment) for r in X.group_rare(df, {"Segment": "rare"}, 0.0001).collect()) == ["None", *["a"] * 8, "b"]
+    plans = [X._frequent(X.category_counts(df, ["Segment"]), "Segment", p, False)._jdf.queryExecution().analyzed().toString() for p in (0.1, 0.0001)]
+    assert ["broadcast" in p.lower() for p in plans] == [True, False]

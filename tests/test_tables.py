@@ -180,3 +180,14 @@ def test_bucketed_table_edges(spark, tmp_path):
     assert rows.filter("Extra = 1").count() == 38 and rows.filter("Extra is null").count() == 3
     bucketed.forget(spark, table, keep=1)
     assert len(sinks.versions(spark, f"{table}/versions")) == 1 and bucketed.read(spark, table).count() == 41
+
+
+def test_typed_rows(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType()), T.StructField("c", T.StringType())])
+    rows = [(1, 2.5, "x"), (None, None, None)]
+    assert [tuple(r) for r in tables.typed_rows(spark, rows, schema).collect()] == rows
+    frame = spark.createDataFrame([("1", "2.5", 7), ("no", None, 8)], "a string, b string, d int")
+    got = tables.typed_rows(spark, frame, schema)
+    assert got.schema == schema and [tuple(r) for r in got.collect()] == [(1, 2.5, None), (None, None, None)]
