@@ -410,6 +410,12 @@ def brz_key_distinct(spark, sf_dir):
     return B.append_batch(*_batches(spark, sf_dir))
 
 
+@register("brz_key_late", f"{cte('bronze')}, {_BOTH} {_KEY_DISTINCT}")
+def brz_key_late(spark, sf_dir):
+    """The same, chosen on narrow rows."""
+    return B.append_batch(*_batches(spark, sf_dir), late=True)
+
+
 @register("brz_bucketed", f"{cte('bronze')}, {_BOTH} {_KEY_DISTINCT}")
 def brz_bucketed(spark, sf_dir):
     """The same by a table in buckets, that grows by one batch and then by the other."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasador import schemas
+from tasador.operators import latefetch
 from tasador.operators.keyed import keep_first
 from tasador.plans.silver import stamp
 
@@ -30,9 +31,13 @@ def exact_distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def key_distinct(df: DataFrame, keys: Sequence[str] = schemas.LISTING_KEY) -> DataFrame:
-    """One row per business key: the first sighting."""
-    return keep_first(df, list(keys), ["ExtractedDate"])
+def key_distinct(df: DataFrame, keys: Sequence[str] = schemas.LISTING_KEY, late: bool = False) -> DataFrame:
+    """One row per business key: the first sighting.
+
+    `late` chooses on narrow rows and fetches the wide ones afterwards: for large
+    stored tables in which most keys come once.
+    """
+    return (latefetch.keep_first if late else keep_first)(df, list(keys), ["ExtractedDate"])
 
 
 def project(df: DataFrame) -> DataFrame:
@@ -51,8 +56,8 @@ def with_fallback(old: DataFrame, new: DataFrame) -> DataFrame:
     return require_rows(old) if new.isEmpty() else union_batches(old, new)
 
 
-def append_batch(old: DataFrame, new: DataFrame, keys: Sequence[str] = schemas.LISTING_KEY) -> DataFrame:
-    return key_distinct(union_batches(old, new), keys)
+def append_batch(old: DataFrame, new: DataFrame, keys: Sequence[str] = schemas.LISTING_KEY, late: bool = False) -> DataFrame:
+    return key_distinct(union_batches(old, new), keys, late)
 
 
 def freshness(old: DataFrame, new: DataFrame, as_of, days: int = STALE_DAYS) -> DataFrame:
