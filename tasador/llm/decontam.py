@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import pickle
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +14,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasador.llm.common import scratch
+from tasador.llm.tokenfile import place
+
 SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 64
 ITEMS_PER_BLOCK = 20_000
 BYTES_PER_BLOCK = 32 << 20
+HELD = 2
+"""Blocks of items that a Python worker keeps in memory."""
 SLICE = 1 << 16
 """Shingles of so many documents are searched together; 0.5 MB for each hash function."""
+ROUND = 1 << 20
+"""Words of documents that wait together for a block to be read, where there are more blocks than a worker holds."""
 
 _MIX = np.random.Generator(np.random.PCG64(20_240_601)).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64)
 MULTIPLY, ADD = _MIX[0] | np.uint64(1), _MIX[1]
@@ -62,11 +72,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, list[bytes]]], size: int) -> None:
         self.size = size
-        self.items = [(item_id, shingles(words, size)) for item_id, words in items]
+        self.items = [(item_id, b" ".join(words)) for item_id, words in items]
         rows: dict[int, list[tuple[int, np.ndarray]]] = {}
         for i, (_, words) in enumerate(items):
             values = minima(shingle_hashes(words, size), np.zeros(1, np.int64))[:, 0]
-            rows.setdefault((len(self.items[i][1]) - 1).bit_length(), []).append((i, values))
+            rows.setdefault((len(shingles(words, size)) - 1).bit_length(), []).append((i, values))
         # Per class and hash function: the items' values in order, and whose they are.
         self.classes = []
         for c, found in sorted(rows.items()):
@@ -100,62 +110,102 @@ class Index:
                     out.update((int(doc[w]), i) for i in owners[k][at[w] : until].tolist())
         return out
 
+    def verified(self, group: list[tuple[int, list[bytes]]], hashes: list[np.ndarray], threshold: float) -> Iterator[tuple[int, int | None, int, int]]:
+        """(row, item_id, shingles shared, shingles of the item) where enough of the item's shingles are in the row."""
+        last, own = -1, set()
+        wanted_of: dict[int, set[bytes]] = {}
+        for doc, i in sorted(self.candidates(hashes)):
+            row, words = group[doc]
+            if doc != last:
+                last, own = doc, shingles(words, self.size)
+            item_id, text = self.items[i]
+            if i not in wanted_of:
+                wanted_of[i] = shingles(text.split(), self.size)
+            shared = len(wanted_of[i] & own)
+            if shared >= threshold * len(wanted_of[i]):
+                yield row, item_id, shared, len(wanted_of[i])
+
 
 def miss_probability(containment: float = THRESHOLD) -> float:
     """Upper estimate of the chance that none of the item's MinHash values meets those of its window."""
     return (1 - containment / (5 - containment)) ** HASHES
 
 
-class Search:
-    """All items of one block, by the length of their shingles."""
-
-    def __init__(self, items: list[tuple[int | None, bytes | None]], threshold: float) -> None:
-        by_size: dict[int, list] = {}
-        for item_id, text in items:
-            if words := split(text):
-                by_size.setdefault(min(SHINGLE, len(words)), []).append((item_id, words))
-        self.indexes = [Index(own, size) for size, own in by_size.items()]
-        self.threshold = threshold
-
-    def __call__(self, texts: pa.Array) -> Iterator[tuple[int, int | None, int, int]]:
-        """(row, item_id, shingles shared, shingles of the item), verified, for the texts of a batch."""
-        group: list[tuple[int, list[bytes]]] = []
-        held = 0
-        for row, text in enumerate(texts):
-            group.append((row, split(text.as_py())))
-            held += len(group[-1][1])
-            if held >= SLICE:
-                yield from self._group(group)
-                group, held = [], 0
-        if group:
-            yield from self._group(group)
-
-    def _group(self, group: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, int | None, int, int]]:
-        for index in self.indexes:
-            found = index.candidates([shingle_hashes(words, index.size) for _, words in group])
-            last, own = -1, set()
-            for doc, i in sorted(found):
-                row, words = group[doc]
-                if doc != last:
-                    last, own = doc, shingles(words, index.size)
-                item_id, wanted = index.items[i]
-                shared = len(wanted & own)
-                if shared >= self.threshold * len(wanted):
-                    yield row, item_id, shared, len(wanted)
-
-
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int | None, bytes | None]]]:
-    """The different items, in blocks bounded in number and bytes.
-
-    An item's block depends on the item alone, so the blocks are the same
-    however the table is read.
+def indexes(items: list[tuple[int | None, bytes | None]]) -> list[Index]:
+    """The items of one block, by the length of their shingles; items without a word are left out."""
+    by_size: dict[int, list] = {}
+    for item_id, text in items:
+        if words := split(text):
+            by_size.setdefault(min(SHINGLE, len(words)), []).append((item_id, words))
+    return [Index(own, size) for size, own in sorted(by_size.items())]
+
+
+@lru_cache(maxsize=HELD)
+def _block(path: str) -> list[Index]:
+    system, file = place(path)
+    with system.open_input_stream(file) as source:
+        return pickle.loads(source.read())
+
+
+def search(paths: list[str], threshold: float, texts: pa.Array) -> Iterator[tuple[int, int | None, int, int]]:
+    """(row, item_id, shingles shared, shingles of the item), verified, for the texts of a batch and the items of all blocks."""
+    at_once = SLICE if len(paths) <= HELD else ROUND
+    group: list[tuple[int, list[bytes]]] = []
+    held = 0
+    for row, text in enumerate(texts):
+        group.append((row, split(text.as_py())))
+        held += len(group[-1][1])
+        if held >= at_once:
+            yield from _searched(paths, threshold, group)
+            group, held = [], 0
+    if group:
+        yield from _searched(paths, threshold, group)
+
+
+def _searched(paths: list[str], threshold: float, group: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, int | None, int, int]]:
+    parts: list[list[tuple[int, list[bytes]]]] = [[]]
+    held = 0
+    for row in group:
+        parts[-1].append(row)
+        held += len(row[1])
+        if held >= SLICE:
+            parts.append([])
+            held = 0
+    known: dict[tuple[int, int], list[np.ndarray]] = {}
+    for path in paths:
+        for index in _block(path):
+            for k, part in enumerate(parts):
+                if (k, index.size) not in known:
+                    known[k, index.size] = [shingle_hashes(words, index.size) for _, words in part]
+                yield from index.verified(part, known[k, index.size], threshold)
+
+
+def signed(benchmark: DataFrame, folder: str, item_id: str = "item_id", text: str = "text") -> list[str]:
+    """Sign the different items in Spark and write them as files under `folder`, a block each; returns the paths.
+
+    A block is bounded in number and bytes and depends on its items alone.  The
+    driver sees counts and paths, never a text.  A task that runs again writes
+    another file; only those that finished tasks report are returned.
     """
     items = benchmark.select(F.col(item_id).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text"))
     count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     parts = max(math.ceil(2 * count / ITEMS_PER_BLOCK), math.ceil(2 * size / BYTES_PER_BLOCK))
-    for i in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == i) if parts > 1 else items
-        yield [(r["id"], None if r["text"] is None else bytes(r["text"])) for r in own.distinct().collect()]
+    if not parts:
+        return []
+    system, root = place(folder)
+    system.create_dir(root, recursive=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        if built := indexes(held):
+            name = f"block-{uuid.uuid4().hex}"
+            with system.open_output_stream(f"{root}/{name}") as file:
+                file.write(pickle.dumps(built))
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"])], names=["path"])
+
+    dealt = items.distinct().withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int"))
+    blocks = dealt.repartitionById(parts, F.col("block")).sortWithinPartitions("id", "text").select("id", "text")
+    return sorted(r["path"] for r in blocks.mapInArrow(run, "path string").collect())
 
 
 def leaks(
@@ -171,27 +221,25 @@ def leaks(
     of that length.  Items without a word are found nowhere.  Every document row
     is judged by itself, equal items count once, null ids stay null.
 
-    The items go to the tasks in blocks bounded in number and bytes; each block
-    is one narrow pass over the documents, without a shuffle.
+    The signed items lie in files in the shared folder, in blocks bounded in
+    number and bytes; the documents are read once, in one narrow pass without a
+    shuffle, and a task takes one block after the other for the texts it holds.
     """
     schema = "doc_id bigint, item_id bigint, n_shared bigint, n_item bigint, containment double"
     read = docs.select(F.col(doc_id).cast("bigint"), F.col(text).cast("binary"))
-    out = docs.sparkSession.createDataFrame([], schema)
-    for i, items in enumerate(_blocks(benchmark, item_id, item_text)):
-        found = read.mapInArrow(_reporter(items, threshold), schema)
-        out = out.unionByName(found) if i else found
-    return out
+    paths = signed(benchmark, scratch(docs.sparkSession, "benchmark"), item_id, item_text)
+    if not paths:
+        return docs.sparkSession.createDataFrame([], schema)
+    return read.mapInArrow(_reporter(paths, threshold), schema)
 
 
-def _reporter(items: list, threshold: float):
+def _reporter(paths: list[str], threshold: float):
     names = ["doc_id", "item_id", "n_shared", "n_item", "containment"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
 
-    search = Search(items, threshold)  # signed once, here; the tasks get the signatures
-
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(batch.column(0)[row].as_py(), i, n, m, n / m) for row, i, n, m in search(batch.column(1))]
+            rows = [(batch.column(0)[row].as_py(), i, n, m, n / m) for row, i, n, m in search(paths, threshold, batch.column(1))]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -201,18 +249,15 @@ def _reporter(items: list, threshold: float):
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` whose text holds no item, with all their columns."""
     at = docs.columns.index("text")
-    for items in _blocks(benchmark, "item_id", "text"):
-        docs = docs.mapInArrow(_filter(items, threshold, at), docs.schema)
-    return docs
-
+    paths = signed(benchmark, scratch(docs.sparkSession, "benchmark"))
+    return docs.mapInArrow(_filter(paths, threshold, at), docs.schema) if paths else docs
 
-def _filter(items: list, threshold: float, at: int):
-    search = Search(items, threshold)
 
+def _filter(paths: list[str], threshold: float, at: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             clean = np.ones(batch.num_rows, bool)
-            clean[[row for row, *_ in search(batch.column(at).cast(pa.binary()))]] = False
+            clean[[row for row, *_ in search(paths, threshold, batch.column(at).cast(pa.binary()))]] = False
             yield batch.filter(pa.array(clean))
 
     return keep

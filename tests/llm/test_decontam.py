@@ -78,6 +78,26 @@ def test_many_blocks_give_the_same(spark, monkeypatch):
     want = found(spark, docs, items)
     monkeypatch.setattr(D, "ITEMS_PER_BLOCK", 10)
     assert found(spark, docs, items) == want == plain(docs, items)
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert D.clean(d, b).count() == 0
+    assert D.leaks(d, b)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_blocks_are_files_and_depend_on_the_items_alone(spark, tmp_path, monkeypatch):
+    """More blocks than a worker holds, together all different items with a word, each once."""
+    monkeypatch.setattr(D, "ITEMS_PER_BLOCK", 10)
+    rows = [(i % 30, f"item {i % 30} has some words of its own") for i in range(60)] + [(None, None), (7, " "), (None, "no id")]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+
+    def listed(df, folder):
+        paths = D.signed(df, str(tmp_path / folder))
+        assert len(paths) > D.HELD and all(p.startswith(str(tmp_path / folder)) for p in paths)
+        blocks = [sorted((item for index in D._block(p) for item in index.items), key=str) for p in paths]
+        return sorted(blocks, key=str)
+
+    blocks = listed(items, "a")
+    assert blocks == listed(items.repartition(7, "text"), "b")
+    assert sorted((i for b in blocks for i in b), key=str) == sorted({(i, t.encode()) for i, t in rows if t and t.strip()}, key=str)
 
 
 def test_clean_keeps_all_columns(spark):
