@@ -21,6 +21,8 @@ MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 16
 PRIOR = 10.0
 THRESHOLD = -0.1
+FILTER_WORDS = 1 << 18
+"""64-bit words of the filter that tells which documents cannot be trusted: 2 MB, whatever the input."""
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -91,22 +93,48 @@ def ngrams(hashes: Column, buckets: int = BUCKETS) -> Column:
     return F.transform(F.concat(hashes, _runs(hashes, 2)), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
+def _dense(cells: DataFrame, size: int, rest: Column) -> Column:
+    """`value` of the cells (at, value) in one array by `at`, `rest` elsewhere: a scalar subquery of `size` numbers."""
+    every = cells.sparkSession.range(size).select(F.col("id").cast("int").alias("at"))
+    full = every.join(cells, "at", "left").select("at", F.coalesce("value", rest).alias("value"))
+    row = full.agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("line"))
+    return row.select(F.transform("line", lambda x: x["value"])).scalar()
+
+
+def _possible(ids: DataFrame, size: int = FILTER_WORDS) -> Callable[[Column], Column]:
+    """A test of an id that holds for every id of `ids` and few others: one bit per id in an array of `size` words.
+
+    The array has the same size for any number of ids; the more ids, the more others pass.
+    """
+    mixed = lambda id_: F.xxhash64(id_, F.lit("trusted"))
+    word = lambda id_: F.pmod(F.shiftright(mixed(id_), 6), F.lit(size)).cast("int")
+    bit = lambda id_: mixed(id_).bitwiseAND(F.lit(63)).cast("int")
+    own = F.col(ids.columns[0])
+    cells = ids.groupBy(word(own).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(own))).alias("value"))
+    line = _dense(cells, size, F.lit(0).cast("bigint"))
+    return lambda id_: id_.isNotNull() & (F.getbit(F.get(line, word(id_)), bit(id_)) == 1)
+
+
+def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, filter_words: int = FILTER_WORDS) -> DataFrame:
     """(bucket, weight): log ratio of a bucket's share in the trusted texts to its share in all.
 
     The raw multinomial counts every n-gram of every document, the trusted one
-    those of every document whose id is in `trusted` (doc_id).  Both are shuffled,
-    whatever their size, so a small table is joined as a large one is, and no
-    list of ids is held whole; documents without an id are dealt by their text.
-    `prior` expected occurrences are added
+    those of every document whose id is in `trusted` (doc_id).  Documents that a
+    filter of fixed size proves untrusted are counted where they are read; the
+    others are shuffled to meet the ids, so no list of ids is held whole.  The filter
+    (`filter_words`) changes what is shuffled, never a count.
+    Documents without an id are not trusted.  `prior` expected occurrences are added
     to each bucket on both sides, so a bucket seen rarely says little.  Without
     trusted texts all weights are 0.  A bucket that no text has is left out.
     """
-    ids = trusted.select(F.col("doc_id").alias("trusted_id")).dropna().distinct()
+    ids = trusted.select(F.col("doc_id").cast("bigint").alias("trusted_id")).dropna().distinct()
+    possible = _possible(ids, filter_words)(F.col("_id"))
+    dealt = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text")
     # Texts are joined, not their hashes, which take half as much again in a shuffle.
-    dealt = docs.select("text", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("_id"), F.col("doc_id").isNull().alias("_none"))
-    known = dealt.join(ids.hint("merge"), F.col("_id") == F.col("trusted_id"), "left")
-    read = barrier(known.select((F.col("trusted_id").isNotNull() & ~F.col("_none")).alias("target"), word_hashes(words(F.col("text"))).alias("hashes")))
+    met = dealt.filter(possible).join(ids.hint("merge"), F.col("_id") == F.col("trusted_id"), "left")
+    texts = met.select(F.col("trusted_id").isNotNull().alias("target"), "text")
+    texts = texts.unionByName(dealt.filter(~possible).select(F.lit(False).alias("target"), "text"))
+    read = barrier(texts.select("target", word_hashes(words(F.col("text"))).alias("hashes")))
     grams = read.select("target", F.explode(ngrams(F.col("hashes"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target"))
     counts = stored(counts, "ngrams")
@@ -116,14 +144,6 @@ def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, pri
     return counts.select("bucket", weight.alias("weight"))
 
 
-def _dense(weights: DataFrame, buckets: int) -> Column:
-    """All weights in one array, by bucket: a scalar subquery of `buckets` numbers."""
-    every = weights.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    full = every.join(weights, "bucket", "left").select("bucket", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    row = full.agg(F.sort_array(F.collect_list(F.struct("bucket", "weight"))).alias("line"))
-    return row.select(F.transform("line", lambda x: x["weight"])).scalar()
-
-
 def verdicts(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """One row per row of `docs`: `keep` (doc_id by default), the measures, `score`, `base_failed`, `kept`.
 
@@ -138,7 +158,7 @@ def verdicts(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS, thresh
     hashed = barrier(split.withColumn("hashes", word_hashes(F.col("words"))))
     found = measures(F.col("text"), F.col("words"), F.col("hashes"))
     # The table is a column first: a subquery may not be written inside a lambda.
-    hashed = hashed.withColumn("table", _dense(weights, buckets))
+    hashed = hashed.withColumn("table", _dense(weights.toDF("at", "value"), buckets, F.lit(0.0)))
     score = let(
         F.col("table"),
         lambda table: let(

@@ -113,3 +113,18 @@ def test_every_trusted_text_counts(spark):
     docs = spark.range(200_500).selectExpr("id AS doc_id", "concat('w', id % 97) AS text")
     weights = Q.fit_weights(docs, docs.select("doc_id")).collect()
     assert len(weights) == 97 and {w["weight"] for w in weights} == {0.0}
+
+
+def test_the_filter_changes_no_count(spark):
+    """A filter of one word lets nearly every id pass, the usual one few but the trusted."""
+    docs = spark.range(3_000).selectExpr("if(id % 7 = 0, null, id) AS doc_id", "concat('w', id % 97, ' v', id % 13) AS text")
+    own = docs.select("doc_id").filter("doc_id % 3 = 0").union(spark.createDataFrame([(-5,), (None,)], "doc_id bigint"))
+    found = [sorted(map(tuple, Q.fit_weights(docs, own, filter_words=size).collect())) for size in (1, 16, Q.FILTER_WORDS)]
+    assert found[0] == found[1] == found[2] and len({w for _, w in found[0]}) > 10
+
+
+def test_untrusted_documents_are_not_shuffled(spark):
+    """The filter passes every trusted id, and of 80,000 others at most one in fifty."""
+    ids = spark.range(0, 100_000, 5).toDF("trusted_id")
+    passed = spark.range(100_000).filter(Q._possible(ids)(F.col("id"))).agg(F.count_if(F.expr("id % 5 = 0")).alias("own"), F.count_if(F.expr("id % 5 <> 0")).alias("others")).first()
+    assert passed["own"] == 20_000 and passed["others"] < 1_600
