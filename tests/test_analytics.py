@@ -277,3 +277,11 @@ def test_rare_values_of_a_share_too_small_to_broadcast(spark):
     assert sorted(str(r.Segment) for r in X.group_rare(df, {"Segment": "rare"}, 0.0001).collect()) == ["None", *["a"] * 8, "b"]
     plans = [X._frequent(X.category_counts(df, ["Segment"]), "Segment", p, False)._jdf.queryExecution().analyzed().toString() for p in (0.1, 0.0001)]
     assert ["broadcast" in p.lower() for p in plans] == [True, False]
+
+
+def test_fits_read_partitions_of_bounded_size(patterns):
+    """However few files the rows come in."""
+    rows = patterns.coalesce(1)
+    table = M.spread(rows, rows.count(), 50)
+    sizes = table.rdd.glom().map(len).collect()
+    assert sum(sizes) == rows.count() and max(sizes) <= 100 and M.spread(table, rows.count(), 50) is table
