@@ -5,9 +5,11 @@ aggregate, so every wide row is sorted before the exchange and after it, also
 where hardly a key comes twice.  Here the choice sees two hashes of the key and
 one number for the order, in hash aggregates.  Its result is the list of *contested*
 keys, those with several rows; a row whose key is not on it stays where it is.
-Only rows that tie in the order are compared column by column.
+Only rows that tie in the order are compared column by column.  With too many
+contested keys to broadcast, a filter of fixed size holds a bit for each; the rows that
+it lets pass, all rows of those keys and few others, go through the plain aggregate.
 
-The input is read two times, three where rows tie, so it should be a table or
+The input is read two times, three where rows tie or the filter is used, so it should be a table or
 stored; after long computations the plain aggregate is the better one.
 """
 
@@ -15,14 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tasador.operators import keyed
-from tasador.operators.keyed import BROADCAST_BYTES, BROADCAST_ROWS, HOT_SHARE, fits_broadcast
+from tasador.operators.keyed import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 from tasador.session import cut_lineage
 
 _BITS = {T.BooleanType: 1, T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.DateType: 32, T.LongType: 64, T.TimestampType: 64}
@@ -85,6 +86,27 @@ def contested(narrow: DataFrame, greatest: bool) -> DataFrame:
     return keys.filter(F.col("_rows") > 1)
 
 
+FILTER_CELLS = 1 << 20
+"""Words of 64 bits in the filter of contested keys: a table of at most so many rows, whatever the input."""
+
+
+def _cell() -> Column:
+    return F.pmod(F.shiftright(KEY[0], 6), F.lit(FILTER_CELLS))
+
+
+def _bit() -> Column:
+    return F.col(KEY[0]).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _one_bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
+
+
+def contested_bits(known: DataFrame) -> DataFrame:
+    """(_at, _bits): a bit for every key of `known`; few other keys share one, the more the more keys there are."""
+    return known.select(_cell().alias("_at"), _bit().alias("_bit")).groupBy("_at").agg(F.bit_or(_one_bit(F.col("_bit"))).alias("_bits"))
+
+
 def _fetch(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], greatest: bool, max_rows: int, max_bytes: int) -> DataFrame:
     ranked = df.withColumns({**key_hashes(keys), "_rank": packed_rank(df, order)})
     known = cut_lineage(contested(ranked.select(*KEY, "_rank"), greatest))
@@ -92,26 +114,23 @@ def _fetch(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], gr
     if not some:
         return df
 
+    pick = keyed.keep_last if greatest else keyed.keep_first
     winner = F.col("_rank") == F.col("_best")
     apart, alone, ties = F.col("_best").isNull(), winner & (F.col("_ties") == 1), winner & (F.col("_ties") > 1)
     marks = known.select(*KEY, "_best", "_ties")
-    if fits_broadcast(marks, max_rows, max_bytes):
-        joined = ranked.join(F.broadcast(marks), KEY, "left")
-        chosen, equals = joined.filter(apart | alone), [joined.filter(ties)]
-    else:
-        # At most HOT_SHARE keys hold that share.  Their losers go before the exchange, their winners do not pass it.
-        hot = F.col("_rows") * HOT_SHARE >= F.lit(total)
-        first = ranked.join(F.broadcast(known.filter(hot).select(*KEY, "_best", "_ties")), KEY, "left")
-        rest = known.filter(~hot).select(*KEY, F.col("_best").alias("_best2"), F.col("_ties").alias("_ties2")).hint("merge")
-        second = first.filter(apart).drop("_best", "_ties").join(rest, KEY, "left").withColumnsRenamed({"_best2": "_best", "_ties2": "_ties"})
-        chosen = first.filter(alone).unionByName(second.filter(apart | alone))
-        equals = [first.filter(ties), second.filter(ties)]
+    if not fits_broadcast(marks, max_rows, max_bytes):
+        # All rows of a key pass the filter or none does, so the others are alone with their keys and stay.
+        marked = ranked.withColumns({"_at": _cell(), "_bit": _bit()}).join(F.broadcast(contested_bits(known)), "_at", "left")
+        maybe = F.coalesce((F.col("_bits").bitwiseAND(_one_bit(F.col("_bit")))) != 0, F.lit(False))
+        own = [f"`{c}`" for c in df.columns]
+        return marked.filter(~maybe).select(*own).unionByName(pick(marked.filter(maybe).select(*own), list(keys), order))
+    joined = ranked.join(F.broadcast(marks), KEY, "left")
+    chosen, equals = joined.filter(apart | alone), joined.filter(ties)
     chosen = chosen.select(*[f"`{c}`" for c in df.columns])
     if not tied:
         return chosen
     # Equal in key and order: the smallest or greatest row decides, as in the plain aggregate.
-    rows = reduce(DataFrame.unionByName, [e.select(*KEY, *[f"`{c}`" for c in df.columns]) for e in equals])
-    pick = keyed.keep_last if greatest else keyed.keep_first
+    rows = equals.select(*KEY, *[f"`{c}`" for c in df.columns])
     return chosen.unionByName(pick(rows, KEY, []).drop(*KEY))
 
 

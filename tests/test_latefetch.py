@@ -69,3 +69,13 @@ def test_no_wide_row_is_sorted_or_moved(rows, spark, tmp_path):
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "note" not in plan
     plan = latefetch.keep_last(df, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_of_single_keys_stay_past_the_broadcast_bound(spark):
+    """Too many contested keys to broadcast: only rows that the filter lets pass are moved, no join shuffles the others."""
+    rows = [(i, i % 5, f"text {i}") for i in range(2000)] + [(i, 9, f"more {i}") for i in range(0, 300, 3)] + [(None, 1, "x"), (None, 1, "w"), (7, 2, "text 0")]
+    df = spark.createDataFrame(rows, "k int, n int, note string")
+    for pick, plain in ((latefetch.keep_first, keyed.keep_first), (latefetch.keep_last, keyed.keep_last)):
+        got = pick(df, ["k"], ["n"], max_rows=0)
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain(df, ["k"], ["n"]).collect()))
