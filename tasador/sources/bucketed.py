@@ -18,8 +18,9 @@ from pyspark.sql.types import StructType
 
 from tasador import schemas
 from tasador.functions.rules import exact_key
+from tasador.operators import keyed
 from tasador.operators.bronze import append_batch, key_distinct
-from tasador.session import cut_lineage
+from tasador.session import cut_lineage, shared_dir
 from tasador.sources import sinks
 
 BUCKETS = 256
@@ -74,20 +75,32 @@ def append(batch: DataFrame, table: str, keys: Sequence[str] = schemas.LISTING_K
     columns = known.unionByName(batch.limit(0), allowMissingColumns=True).schema
     first = key_distinct(known.unionByName(batch, allowMissingColumns=True), keys)
     bucket = F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int")
-    fresh = cut_lineage(_digests(first, keys, columns.names).withColumn("_bucket", bucket))
+    # Wide rows take a fraction of a checkpoint's room as columns.
+    stage = f"{shared_dir(spark).rstrip('/')}/batch-{uuid.uuid4().hex}"
+    _digests(first, keys, columns.names).withColumn("_bucket", bucket).write.parquet(stage)
+    fresh = spark.read.schema(StructType([*columns.fields]).add("_key", "binary").add("_row", "long").add("_bucket", "integer")).parquet(stage)
     folders = {e["bucket"]: e["path"] for e in entries}
     # At most `buckets` numbers.
     near = [r[0] for r in fresh.select("_bucket").distinct().collect()]
     old = _read(spark, [folders[b] for b in near if b in folders], entries[0]["columns"] if entries else None)
-    there = old.select("_key", F.col(ORDER).alias("_seen"), F.col("_row").alias("_old"), F.lit(True).alias("_there"))
+    there = old.select("_key", F.col(ORDER).alias("_seen"), F.col("_row").alias("_old"))
     earlier = F.col(ORDER).isNull() | (F.col("_seen").isNotNull() & (F.col(ORDER) <= F.col("_seen")))
-    changes = fresh.join(there, "_key", "left").filter(F.col("_there").isNull() | (earlier & (F.col("_old") != F.col("_row"))))
-    touched = sorted(r[0] for r in changes.select("_bucket").distinct().collect())
+    met = fresh.select(*_OWN, ORDER).join(there, "_key").select("_key", (earlier & (F.col("_old") != F.col("_row"))).alias("_wins"))
+    matched = cut_lineage(met)
+    # Null: a new key; false: the row that is there stays.
+    marked = keyed.lookup(fresh.drop("_row"), matched, ["_key"])
+    touched = sorted(r[0] for r in marked.filter("_wins is null or _wins").select("_bucket").distinct().collect())
     if not touched and entries:
         return []
-    kept = _read(spark, [folders[b] for b in touched if b in folders], entries[0]["columns"] if entries else None).drop(*_OWN)
-    merged = append_batch(kept, fresh.filter(F.col("_bucket").isin(touched)).drop(*_OWN, "_bucket"), keys).select(*columns.names)
-    placed = _digests(merged, keys, columns.names).withColumn("_bucket", bucket)
+    kept = _read(spark, [folders[b] for b in touched if b in folders], entries[0]["columns"] if entries else None).drop("_row")
+    parts = marked.drop("_key", "_bucket")
+    merged = known.unionByName(parts.filter("_wins is null").drop("_wins"), allowMissingColumns=True)
+    if entries:
+        # Only rows that a batch row may replace are compared with it; the others are as they were.
+        held = keyed.lookup(kept, matched.filter("_wins"), ["_key"]).drop("_key")
+        merged = merged.unionByName(held.filter("_wins is null").drop("_wins"), allowMissingColumns=True)
+        merged = merged.unionByName(append_batch(held.filter("_wins").drop("_wins"), parts.filter("_wins").drop("_wins"), keys), allowMissingColumns=True)
+    placed = _digests(merged.select(*columns.names), keys, columns.names).withColumn("_bucket", bucket)
     target = f"{table}/data/{uuid.uuid4().hex}"
     # One file a bucket: buckets are what is read and rewritten as a whole.
     placed.repartition(max(1, len(touched)), "_bucket").write.partitionBy("_bucket").parquet(target)
