@@ -66,7 +66,8 @@ def append(batch: DataFrame, table: str, keys: Sequence[str] = schemas.LISTING_K
     A batch row changes the table if its key is new, or if it was seen no later than
     the row that is there and differs from it.  Which do is settled on digests and
     dates of the buckets the batch could touch; a batch that is replayed changes
-    nothing and writes nothing.  `buckets` counts for a new table only.
+    nothing and writes nothing to the table.  The batch's rows are stored in the shared
+    folder meanwhile, which whoever owns it empties.  `buckets` counts for a new table only.
     """
     spark = batch.sparkSession
     entries = _listed(spark, table).collect()
