@@ -272,6 +272,17 @@ def test_bootstrap_ensemble(patterns, tmp_path):
     assert out.columns == [*patterns.columns, "prediction", "deviation"]
 
 
+def test_ensemble_indexes_and_assembles_once(patterns, tmp_path):
+    """Models of one table share their indexers; the predictions are those of the models one by one, also of two tables."""
+    paths = M.bootstrap(patterns, str(tmp_path / "a"), SMALL, models=3)
+    other = M.bootstrap(patterns.filter("Brand = 'A'"), str(tmp_path / "b"), SMALL, models=1)
+    for some, heads in ((paths, 1), ([*paths, *other], 2)):
+        out = M.ensemble(some, patterns)
+        assert out._jdf.queryExecution().analyzed().toString().count(" AS features#") == heads
+        single = [M.score(M.PipelineModel.load(p), patterns).groupBy().agg(F.sum("prediction")).first()[0] for p in some]
+        assert out.groupBy().agg(F.sum("prediction")).first()[0] == pytest.approx(statistics.fmean(single))
+
+
 def test_rare_values_of_a_share_too_small_to_broadcast(spark):
     df = spark.createDataFrame([("a",)] * 8 + [("b",), (None,)], "Segment string")
     assert sorted(str(r.Segment) for r in X.group_rare(df, {"Segment": "rare"}, 0.0001).collect()) == ["None", *["a"] * 8, "b"]
