@@ -265,6 +265,17 @@ def test_shuffle_is_a_permutation(patterns):
     assert mixed.exceptAll(patterns).count() > 500
 
 
+def test_columns_are_exchanged_together_in_one_shuffle(patterns):
+    data, names = M.numbered(patterns), ["Price", "Kms", "Age"]
+    for columns in ("Price", names):
+        out = M.shuffled(data, columns, 1, rows_per_bucket=100)
+        assert out._jdf.queryExecution().sparkPlan().toString().count("Window ") <= 1
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    triples = lambda df: sorted(map(tuple, df.select(*names).collect()))
+    assert triples(out) == triples(patterns) and out.columns == data.columns
+    assert out.drop(*names).exceptAll(data.drop(*names)).count() == 0 and out.exceptAll(data).count() > 500
+
+
 def test_bootstrap_ensemble(patterns, tmp_path):
     paths = M.bootstrap(patterns, str(tmp_path), SMALL, models=2)
     out = M.ensemble(paths, patterns)
