@@ -520,7 +520,7 @@ def key_surrogate(spark, sf_dir):
     key = F.unhex(rules.digest([c(n) for n in schemas.VEHICLE_PARTS], 256))
     df = _listing(spark, sf_dir)
     N.register(df.filter("l_linenumber <= 3").select(key.alias("key")), folder)
-    return N.with_number(df.select(*ROW, *schemas.VEHICLE_PARTS), key, folder, "vehicle_id").select(*ROW, "vehicle_id")
+    return N.with_number(df.select(*ROW, key.alias("key")), c("key"), folder, "vehicle_id").select(*ROW, "vehicle_id")
 
 
 _KEY = ", ".join(f'"{n}"' for n in schemas.SILVER_KEY)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasador.operators.keyed import lookup
+from tasador.operators.keyed import BROADCAST_ROWS, lookup
 from tasador.session import cut_lineage
 from tasador.sources import sinks
 
@@ -63,5 +63,7 @@ def with_number(df: DataFrame, key: Column, folder: str, name: str) -> DataFrame
     """`df` plus the number of its key as `name`; keys the registry lacks are entered first.  A null key has no number."""
     keyed = cut_lineage(df.withColumn("key", key))
     registry = register(keyed.select("key"), folder)
-    wanted = registry.join(keyed.select("key").distinct(), "key", "left_semi") if sinks.versions(df.sparkSession, folder)[1:] else registry
+    # Few rows: their part of a grown registry may be broadcast.  Else both are shuffled, and finding that part would only shuffle them once more.
+    few = bool(sinks.versions(df.sparkSession, folder)[1:]) and keyed.count() <= BROADCAST_ROWS
+    wanted = registry.join(keyed.select("key").distinct(), "key", "left_semi") if few else registry
     return lookup(keyed, wanted.withColumnRenamed("number", name), ["key"]).drop("key")

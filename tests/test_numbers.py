@@ -35,6 +35,20 @@ def test_rows_get_the_numbers_of_their_keys(spark, tmp_path):
         assert [r.number for r in out if r.vehicle is None] == [None] and max(r.number for r in out if r.vehicle) == 100
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_large_batches_meet_the_registry_without_a_semi_join(spark, tmp_path, monkeypatch, most):
+    rows = spark.createDataFrame([(i, f"k{i % 90}") for i in range(300)], "i int, vehicle string")
+    folder, key, met = str(tmp_path / "numbers"), F.encode("vehicle", "UTF-8"), []
+    N.register(keys(spark, [f"k{i}" for i in range(50, 120)]), folder)
+    plain = N.lookup
+    monkeypatch.setattr(N, "lookup", lambda fact, dim, *args: met.append(dim.count()) or plain(fact, dim, *args))
+    monkeypatch.setattr(N, "BROADCAST_ROWS", most)
+    out = {r.vehicle: r.number for r in N.with_number(rows, key, folder, "number").collect()}
+    assert met == [90 if most else 120]
+    order = [*sorted(f"k{i}" for i in range(50, 120)), *sorted(f"k{i}" for i in range(50))]
+    assert out == {v: i for i, v in enumerate(order) if int(v[1:]) < 90}
+
+
 def test_vehicle_numbers_of_the_silver_table(spark, tmp_path):
     from tasador import schemas
     from tasador.plans.silver import with_registry_ids
