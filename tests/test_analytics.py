@@ -220,6 +220,24 @@ def test_contributions_add_up_and_equal_brute_force(patterns):
     assert held.agg(F.sum("Importances")).first()[0] == pytest.approx(100) and held.first().FeatureName in ("Age", "Kms")
 
 
+def test_rows_that_go_the_same_way_are_explained_once(patterns):
+    """Their contributions are those of every row alone."""
+    table = M.assembled(patterns)
+    tree = A.trees_of(patterns.sparkSession, M.fitted(table, SMALL))[0]
+    parts, _ = A.leaves(tree)
+    rows = np.array([r.features.toArray() for r in table.rows.limit(50).collect()])
+    seen = []
+    leaf = A.Leaf(parts[0].features, parts[0].splits, type("Seen", (), {"__getitem__": lambda self, p: seen.append(len(p)) or parts[0].table[p]})())
+    many, alone = np.zeros((200, len(M.FEATURES))), np.zeros((50, len(M.FEATURES)))
+    A.add_contributions(tree, [leaf, *parts[1:]], np.tile(rows, (4, 1)), many)
+    assert len(seen) == 1 and seen[0] <= 50
+    for i in range(50):
+        A.add_contributions(tree, parts, rows[i : i + 1], alone[i : i + 1])
+    assert np.array_equal(many, np.tile(alone, (4, 1))) and alone.any()
+    narrow = M.explained(M.train(patterns, SMALL), patterns, ["Brand"])
+    assert narrow.columns == ["Brand", "prediction", "base", "contributions"]
+
+
 def test_resamples_are_exact_and_do_not_depend_on_partitions(patterns):
     many = patterns.unionByName(patterns.limit(200)).unionByName(patterns.filter("Brand = 'A'"))
     total = many.count()
