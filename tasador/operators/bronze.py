@@ -28,16 +28,19 @@ def union_batches(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def exact_distinct(df: DataFrame) -> DataFrame:
-    return df.distinct()
+    """Equal rows once; a row that comes once is not moved."""
+    return latefetch.fold_repeated(df, df.columns, lambda rows: rows.distinct())
 
 
 def key_distinct(df: DataFrame, keys: Sequence[str] = schemas.LISTING_KEY, late: bool = False) -> DataFrame:
-    """One row per business key: the first sighting.
+    """One row per business key: the first sighting; a row whose key comes once is not moved.
 
     `late` chooses on narrow rows and fetches the wide ones afterwards: for large
     stored tables in which most keys come once.
     """
-    return (latefetch.keep_first if late else keep_first)(df, list(keys), ["ExtractedDate"])
+    if late:
+        return latefetch.keep_first(df, list(keys), ["ExtractedDate"])
+    return latefetch.fold_repeated(df, list(keys), lambda rows: keep_first(rows, list(keys), ["ExtractedDate"]))
 
 
 def project(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ stored; after long computations the plain aggregate is the better one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -107,6 +107,35 @@ def contested_bits(known: DataFrame) -> DataFrame:
     return known.select(_cell().alias("_at"), _bit().alias("_bit")).groupBy("_at").agg(F.bit_or(_one_bit(F.col("_bit"))).alias("_bits"))
 
 
+def _filtered(hashed: DataFrame, known: DataFrame, columns: Sequence[str], fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`fold` of the rows whose key has a bit, beside the others as they are.
+
+    All rows of a key pass the filter or none does, so the others are alone with their keys and stay.
+    """
+    marked = hashed.withColumns({"_at": _cell(), "_bit": _bit()}).join(F.broadcast(contested_bits(known)), "_at", "left")
+    maybe = F.coalesce((F.col("_bits").bitwiseAND(_one_bit(F.col("_bit")))) != 0, F.lit(False))
+    own = [f"`{c}`" for c in columns]
+    return marked.filter(~maybe).select(*own).unionByName(fold(marked.filter(maybe).select(*own)))
+
+
+def fold_repeated(df: DataFrame, keys: Sequence[str], fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`fold(df)`, for a fold that works key by key and returns a row as it is if no other has its key; null equals null.
+
+    Rows are exchanged by one hash of the key, to find the keys that come more than
+    once; only their rows, and the few that share a bit with them, take part in the fold.
+    It is one query, so that exchanges inside `df` are made once and read three times;
+    computations after the last of them are made three times.  Equal keys need equal
+    hashes, so with keys of other kinds than texts, whole numbers, dates, timestamps and booleans all rows are folded.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    if len(kinds) < len(df.columns) or any(type(kinds[k]) not in _BITS and kinds[k] != T.StringType() for k in keys):
+        return fold(df)
+    # Nulls leave no trace in it, which costs a few rows more; with tests for null beside the columns, plans of many computed columns take minutes.
+    key = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    known = df.select(key.alias(KEY[0])).groupBy(KEY[0]).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    return _filtered(df.withColumn(KEY[0], key), known, df.columns, fold)
+
+
 def _fetch(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], greatest: bool, max_rows: int, max_bytes: int) -> DataFrame:
     ranked = df.withColumns({**key_hashes(keys), "_rank": packed_rank(df, order)})
     known = cut_lineage(contested(ranked.select(*KEY, "_rank"), greatest))
@@ -119,11 +148,7 @@ def _fetch(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], gr
     apart, alone, ties = F.col("_best").isNull(), winner & (F.col("_ties") == 1), winner & (F.col("_ties") > 1)
     marks = known.select(*KEY, "_best", "_ties")
     if not fits_broadcast(marks, max_rows, max_bytes):
-        # All rows of a key pass the filter or none does, so the others are alone with their keys and stay.
-        marked = ranked.withColumns({"_at": _cell(), "_bit": _bit()}).join(F.broadcast(contested_bits(known)), "_at", "left")
-        maybe = F.coalesce((F.col("_bits").bitwiseAND(_one_bit(F.col("_bit")))) != 0, F.lit(False))
-        own = [f"`{c}`" for c in df.columns]
-        return marked.filter(~maybe).select(*own).unionByName(pick(marked.filter(maybe).select(*own), list(keys), order))
+        return _filtered(ranked, known, df.columns, lambda rows: pick(rows, list(keys), order))
     joined = ranked.join(F.broadcast(marks), KEY, "left")
     chosen, equals = joined.filter(apart | alone), joined.filter(ties)
     chosen = chosen.select(*[f"`{c}`" for c in df.columns])

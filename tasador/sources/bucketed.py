@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tasador import schemas
 from tasador.functions.rules import exact_key
 from tasador.operators import keyed
-from tasador.operators.bronze import append_batch, key_distinct
+from tasador.operators.bronze import key_distinct, union_batches
 from tasador.session import cut_lineage, shared_dir
 from tasador.sources import sinks
 
@@ -100,7 +100,9 @@ def append(batch: DataFrame, table: str, keys: Sequence[str] = schemas.LISTING_K
         # Only rows that a batch row may replace are compared with it; the others are as they were.
         held = keyed.lookup(kept, matched.filter("_wins"), ["_key"]).drop("_key")
         merged = merged.unionByName(held.filter("_wins is null").drop("_wins"), allowMissingColumns=True)
-        merged = merged.unionByName(append_batch(held.filter("_wins").drop("_wins"), parts.filter("_wins").drop("_wins"), keys), allowMissingColumns=True)
+        # Every key of these comes twice.
+        replaced = union_batches(held.filter("_wins").drop("_wins"), parts.filter("_wins").drop("_wins"))
+        merged = merged.unionByName(keyed.keep_first(replaced, list(keys), [ORDER]), allowMissingColumns=True)
     placed = _digests(merged.select(*columns.names), keys, columns.names).withColumn("_bucket", bucket)
     target = f"{table}/data/{uuid.uuid4().hex}"
     # One file a bucket: buckets are what is read and rewritten as a whole.

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tasador.operators import keyed, latefetch
+from tasador.operators import bronze, keyed, latefetch
 
 SCHEMA = "k string, d double, day date, n int, b boolean, big bigint, at timestamp, note string"
 
@@ -79,3 +79,26 @@ def test_rows_of_single_keys_stay_past_the_broadcast_bound(spark):
         got = pick(df, ["k"], ["n"], max_rows=0)
         assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(str, got.collect())) == sorted(map(str, plain(df, ["k"], ["n"]).collect()))
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "day"], ["note", "k", "b"], ["k", "d"]])
+def test_folding_repeated_keys_only_gives_the_same_rows(rows, keys):
+    fold = lambda df: keyed.keep_first(df, keys, ["n"])
+    assert listed(latefetch.fold_repeated(rows, keys, fold)) == listed(fold(rows))
+    assert latefetch.fold_repeated(rows.limit(0), keys, fold).count() == 0
+
+
+def test_rows_that_come_once_are_not_folded(spark, monkeypatch):
+    texts = [(f"a{i}", None if i % 2 else "x", dt.date(2024, 1, 1)) for i in range(3000)]
+    df = spark.createDataFrame(texts + texts[:40] + [(None, "a0", None), ("a0", None, None)], "k string, v string, ExtractedDate date")
+    moved, first = [], keyed.keep_first
+    want, kept = listed(df.distinct()), listed(first(df, ["k", "v"], ["ExtractedDate"]))
+
+    def counting(fold):
+        return lambda rows, *rest: moved.append(rows.count()) or fold(rows, *rest)
+
+    monkeypatch.setattr(bronze, "keep_first", counting(first))
+    assert listed(bronze.key_distinct(df, ["k", "v"])) == kept
+    monkeypatch.setattr(type(df), "distinct", counting(type(df).distinct))
+    assert listed(bronze.exact_distinct(df)) == want
+    assert len(moved) == 2 and all(80 <= n < 200 for n in moved)
