@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import views
 from tasador import schemas
 from tasador.operators import bronze as B
 from tasador.plans import pricelist as P
@@ -218,3 +219,19 @@ def test_buckets_compare_only_the_rows_a_batch_may_replace(spark, tmp_path):
         bucketed.cut_lineage = keep
     assert all("Web" not in columns for columns in stored)
     assert sorted(map(str, bucketed.read(spark, table).collect())) == sorted(map(str, B.key_distinct(whole).select(*schemas.BRONZE.names).collect()))
+
+
+def test_views_do_not_broadcast_tables_of_many_rows(spark, tmp_path, monkeypatch):
+    """Files of a few bytes a row pass for small ones; a table past the bound is shuffled, and the rows are the same."""
+    spark.range(3000).selectExpr("id AS l_orderkey", "id % 70 AS l_partkey", "id * 1.5E0 AS l_extendedprice", "CAST(id % 50 AS DOUBLE) AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(60).selectExpr("IF(id = 7, NULL, id % 50) AS p_partkey", "concat('Brand#1', id % 9) AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+
+    def rows_and_plan():
+        df = views.view(spark, str(tmp_path), "scored")
+        return sorted(map(str, df.collect())), df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+    want, small = rows_and_plan()
+    monkeypatch.setattr(views, "BROADCAST_ROWS", 59)
+    got, large = rows_and_plan()
+    assert got == want and len(want) > 1000
+    assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large and "ShuffledHashJoin" in large
