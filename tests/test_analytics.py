@@ -180,6 +180,27 @@ def test_staged_fit_is_a_prefix_of_the_whole_fit(patterns):
     assert sum(model.featureImportances.toArray()) == pytest.approx(1)
 
 
+def test_fit_that_cannot_stop_early_is_made_at_once(patterns, monkeypatch):
+    """The same trees and the same prefix as tree by tree, without a fit of its own for every tree."""
+    parts = M.split(patterns).withColumn("Price", F.when(F.col("held"), F.col("Price") + 4000 * F.rand(3)).otherwise(F.col("Price")))
+    table = M.assembled(parts)
+    params = {"iterations": 9, "depth": 3, "learning_rate": 0.4}
+    single, plain = [], boosting.DecisionTreeRegressor.fit
+    monkeypatch.setattr(boosting.DecisionTreeRegressor, "fit", lambda self, *args: single.append(1) or plain(self, *args))
+    slow = staged(table.rows, table.trainer(params, 1), "held", len(M.FEATURES), patience=8)
+    assert single
+    single.clear()
+    model = staged(table.rows, table.trainer(params, 1), "held", len(M.FEATURES), patience=9)
+    assert not single and model.treeWeights == slow.treeWeights and model.getNumTrees == slow.getNumTrees
+    assert [t.toDebugString.split("\n")[1:] for t in model.trees] == [t.toDebugString.split("\n")[1:] for t in slow.trees]
+    held = table.rows.filter("held")
+    assert sorted(r.prediction for r in model.transform(held).collect()) == pytest.approx(sorted(r.prediction for r in slow.transform(held).collect()))
+
+
+def test_fits_at_once_shrink_with_the_rows():
+    assert [M.at_once(n, 12) for n in (0, 600_000, 7_000_000, 36_000_000, 10**9)] == [4, 4, 3, 1, 1] and M.at_once(5, 1, 2) == 2
+
+
 def test_contributions_add_up_and_equal_brute_force(patterns):
     model = M.train(patterns, {"iterations": 3, "depth": 3, "learning_rate": 0.4})
     rows = M.explained(model, patterns).collect()
