@@ -235,3 +235,38 @@ def test_views_do_not_broadcast_tables_of_many_rows(spark, tmp_path, monkeypatch
     got, large = rows_and_plan()
     assert got == want and len(want) > 1000
     assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large and "ShuffledHashJoin" in large
+
+
+def test_a_batch_is_merged_in_rounds_and_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    """Rounds of few rows give the rows of one round, and the stored batch goes with them."""
+    from pathlib import Path
+
+    from tasador.session import shared_dir
+
+    def stored():
+        return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("batch-*")}
+
+    batches = [many(spark, range(300), 10), many(spark, range(200, 500), 10, "v").unionByName(many(spark, range(20), 12)), many(spark, range(0, 600, 7), 3, "e")]
+    table, whole, before = str(tmp_path / "t"), batches[0], stored()
+    for later in batches[1:]:
+        whole = B.union_batches(whole, later)
+    monkeypatch.setattr(bucketed, "ROWS_PER_ROUND", 250, raising=False)
+    monkeypatch.setattr(bucketed, "ROWS_PER_FILE", 40, raising=False)
+    for later in batches:
+        bucketed.append(later, table, buckets=8)
+    got = bucketed.read(spark, table).select(*batch(spark, []).columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, B.key_distinct(whole).collect()))
+    assert bucketed.append(batches[2], table) == []
+    assert stored() == before
+
+
+def test_a_table_whose_list_has_no_width_keeps_its_keys(spark, tmp_path, monkeypatch):
+    """Tables written with whole digests go on with them."""
+    table = str(tmp_path / "t")
+    monkeypatch.setattr(bucketed, "_WIDTH", 32)
+    bucketed.append(many(spark, range(30), 10), table, buckets=4)
+    monkeypatch.undo()
+    sinks.overwrite(sinks.read_current(spark, f"{table}/versions").drop("width"), f"{table}/versions")
+    assert bucketed.append(many(spark, range(30), 10), table) == []
+    bucketed.append(many(spark, range(25, 40), 10, "v"), table)
+    assert sorted(r.Marca for r in bucketed.read(spark, table).collect()) == sorted(f"Brand {i}" for i in range(40))
