@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasador.operators.keyed import BROADCAST_ROWS, lookup
-from tasador.session import cut_lineage
+from tasador.session import discard, store
 from tasador.sources import sinks
 
 SCHEMA = "key binary, number bigint"
@@ -34,7 +34,7 @@ def numbered(keys: DataFrame, first: int) -> DataFrame:
     partition.
     """
     ordered = keys.repartitionByRange("key").sortWithinPartitions("key")
-    placed = cut_lineage(ordered.select("key", F.monotonically_increasing_id().alias("_id")))
+    placed = store(ordered.select("key", F.monotonically_increasing_id().alias("_id")))
     part = F.shiftright("_id", 33)
     counts = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, before = [], first
@@ -43,7 +43,9 @@ def numbered(keys: DataFrame, first: int) -> DataFrame:
         before += counts[p]
     starts = keys.sparkSession.createDataFrame(offsets, "part bigint, start bigint")
     joined = placed.withColumn("part", part).join(F.broadcast(starts), "part")  # as many rows as partitions
-    return joined.select("key", (F.col("start") + F.col("_id").bitwiseAND(F.lit(_ROW))).alias("number"))
+    numbers = joined.select("key", (F.col("start") + F.col("_id").bitwiseAND(F.lit(_ROW))).alias("number"))
+    numbers._folder = getattr(placed, "_folder", None)  # `discard` of the numbers deletes what they are made of
+    return numbers
 
 
 def register(keys: DataFrame, folder: str) -> DataFrame:
@@ -55,13 +57,15 @@ def register(keys: DataFrame, folder: str) -> DataFrame:
     old = known(spark, folder)
     first = old.agg(F.max("number")).first()[0]
     new = keys.select(F.col("key").cast("binary").alias("key")).dropna().distinct().join(old, "key", "left_anti")
-    sinks.overwrite(numbered(new, 0 if first is None else first + 1), folder)
+    numbers = numbered(new, 0 if first is None else first + 1)
+    sinks.overwrite(numbers, folder)
+    discard(numbers)
     return known(spark, folder)
 
 
 def with_number(df: DataFrame, key: Column, folder: str, name: str) -> DataFrame:
     """`df` plus the number of its key as `name`; keys the registry lacks are entered first.  A null key has no number."""
-    keyed = cut_lineage(df.withColumn("key", key))
+    keyed = store(df.withColumn("key", key))
     registry = register(keyed.select("key"), folder)
     # Few rows: their part of a grown registry may be broadcast.  Else both are shuffled, and finding that part would only shuffle them once more.
     few = bool(sinks.versions(df.sparkSession, folder)[1:]) and keyed.count() <= BROADCAST_ROWS

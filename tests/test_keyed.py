@@ -61,3 +61,16 @@ def test_broadcast_needs_a_measured_size(skewed, spark):
     assert keyed.fits_broadcast(dim)
     assert not keyed.fits_broadcast(dim, max_rows=99)
     assert not keyed.fits_broadcast(dim, max_bytes=50_000)
+
+
+def test_counts_of_the_keys_are_not_stored(skewed):
+    """A fact of many keys leaves no table of them; at most HOT_SHARE rows reach the driver."""
+    from pathlib import Path
+
+    from tasador.session import shared_dir
+
+    top = Path(shared_dir(skewed.sparkSession).removeprefix("file:"))
+    dim, before = skewed.select("k").distinct().dropna().withColumn("d", F.upper("k")), {*top.glob("*/rdd-*")}
+    out = keyed.lookup(skewed, dim, ["k"], max_rows=0)
+    assert {*top.glob("*/rdd-*")} <= before
+    assert out.count() == skewed.count()

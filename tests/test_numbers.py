@@ -56,3 +56,17 @@ def test_vehicle_numbers_of_the_silver_table(spark, tmp_path):
     rows = spark.range(6).select((F.col("id") + 100).alias("VehicleId"), *[F.concat(F.lit(n), F.col("id") % 3).alias(n) for n in schemas.VEHICLE_PARTS])
     out = with_registry_ids(rows, str(tmp_path / "vehicles"))
     assert out.columns == rows.columns and sorted(r.VehicleId for r in out.collect()) == [0, 0, 1, 1, 2, 2]
+
+
+def test_only_the_rows_that_are_returned_stay_stored(spark, tmp_path):
+    """What the numbers are made of goes with the run, and nothing is checkpointed."""
+    from pathlib import Path
+
+    from tasador.session import shared_dir
+
+    top = Path(shared_dir(spark).removeprefix("file:"))
+    rows = spark.createDataFrame([(i, f"k{i % 90}") for i in range(300)], "i int, vehicle string")
+    before = {*top.glob("stored-*")}, {*top.glob("*/rdd-*")}
+    out = N.with_number(rows, F.encode("vehicle", "UTF-8"), str(tmp_path / "numbers"), "number")
+    assert len({*top.glob("stored-*")} - before[0]) == 1 and {*top.glob("*/rdd-*")} <= before[1]
+    assert sorted({r.number for r in out.collect()}) == list(range(90))
