@@ -15,7 +15,7 @@ from tasador import schemas
 from tasador.functions import fields
 from tasador.operators import bronze as B
 from tasador.plans import silver as S
-from tasador.session import shared_dir
+from tasador.session import shared_dir, store
 from tasador.sources import bucketed, pages, sinks, sites, tables
 
 DAY = AS_OF[:10]
@@ -412,8 +412,8 @@ def brz_key_distinct(spark, sf_dir):
 
 @register("brz_key_late", f"{cte('bronze')}, {_BOTH} {_KEY_DISTINCT}")
 def brz_key_late(spark, sf_dir):
-    """The same, chosen on narrow rows."""
-    return B.append_batch(*_batches(spark, sf_dir), late=True)
+    """The same, chosen on narrow rows of stored batches: a view is computed once, and one after the other."""
+    return B.append_batch(*[store(batch) for batch in _batches(spark, sf_dir)], late=True)
 
 
 @register("brz_bucketed", f"{cte('bronze')}, {_BOTH} {_KEY_DISTINCT}")

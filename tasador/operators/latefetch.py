@@ -7,7 +7,8 @@ one number for the order, in hash aggregates.  Its result is the list of *contes
 keys, those with several rows; a row whose key is not on it stays where it is.
 Only rows that tie in the order are compared column by column.  With too many
 contested keys to broadcast, a filter of fixed size holds a bit for each; the rows that
-it lets pass, all rows of those keys and few others, go through the plain aggregate.
+it lets pass, all rows of those keys and few others, are stored and go through the plain
+aggregate a part of the keys at a time.
 
 The input is read two times, three where rows tie or the filter is used, so it should be a table or
 stored; after long computations the plain aggregate is the better one.
@@ -15,8 +16,10 @@ stored; after long computations the plain aggregate is the better one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +27,7 @@ from pyspark.sql import types as T
 
 from tasador.operators import keyed
 from tasador.operators.keyed import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
-from tasador.session import cut_lineage
+from tasador.session import cut_lineage, discard, store
 
 _BITS = {T.BooleanType: 1, T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.DateType: 32, T.LongType: 64, T.TimestampType: 64}
 _LARGEST = 126
@@ -107,15 +110,38 @@ def contested_bits(known: DataFrame) -> DataFrame:
     return known.select(_cell().alias("_at"), _bit().alias("_bit")).groupBy("_at").agg(F.bit_or(_one_bit(F.col("_bit"))).alias("_bits"))
 
 
+def _marked(hashed: DataFrame, bits: DataFrame) -> DataFrame:
+    """`hashed` plus `_maybe`: whether the row's key has a bit."""
+    met = hashed.withColumns({"_at": _cell(), "_bit": _bit()}).join(F.broadcast(bits), "_at", "left")
+    return met.withColumn("_maybe", F.coalesce((F.col("_bits").bitwiseAND(_one_bit(F.col("_bit")))) != 0, F.lit(False)))
+
+
 def _filtered(hashed: DataFrame, known: DataFrame, columns: Sequence[str], fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """`fold` of the rows whose key has a bit, beside the others as they are.
 
     All rows of a key pass the filter or none does, so the others are alone with their keys and stay.
     """
-    marked = hashed.withColumns({"_at": _cell(), "_bit": _bit()}).join(F.broadcast(contested_bits(known)), "_at", "left")
-    maybe = F.coalesce((F.col("_bits").bitwiseAND(_one_bit(F.col("_bit")))) != 0, F.lit(False))
-    own = [f"`{c}`" for c in columns]
-    return marked.filter(~maybe).select(*own).unionByName(fold(marked.filter(maybe).select(*own)))
+    marked, own = _marked(hashed, contested_bits(known)), [f"`{c}`" for c in columns]
+    return marked.filter(~F.col("_maybe")).select(*own).unionByName(fold(marked.filter("_maybe").select(*own)))
+
+
+ROWS_PER_ROUND = 2_000_000
+"""Rows of contested keys that are exchanged at a time."""
+MOST_ROUNDS = 64
+
+
+def _filtered_in_rounds(hashed: DataFrame, known: DataFrame, rows: int, columns: Sequence[str], fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`_filtered` for `rows` rows of contested keys: the rows with a bit are stored by parts of the keys and folded one part after the other.
+
+    What is exchanged at once does not grow with the rows, up to `MOST_ROUNDS` times `ROWS_PER_ROUND`; stored rows take a fraction of their room in an exchange.
+    """
+    rounds = max(1, min(MOST_ROUNDS, math.ceil(rows / ROWS_PER_ROUND)))
+    marked, own = _marked(hashed, cut_lineage(contested_bits(known))), [f"`{c}`" for c in columns]
+    part = F.pmod(KEY[1], F.lit(rounds)).cast("int").alias("_part")
+    maybe = store(marked.filter("_maybe").select(*own, part), "_part")
+    folded = [store(fold(maybe.filter(F.col("_part") == i).select(*own))) for i in range(rounds)]
+    discard(maybe)
+    return reduce(DataFrame.unionByName, folded, marked.filter(~F.col("_maybe")).select(*own))
 
 
 def fold_repeated(df: DataFrame, keys: Sequence[str], fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -148,7 +174,7 @@ def _fetch(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], gr
     apart, alone, ties = F.col("_best").isNull(), winner & (F.col("_ties") == 1), winner & (F.col("_ties") > 1)
     marks = known.select(*KEY, "_best", "_ties")
     if not fits_broadcast(marks, max_rows, max_bytes):
-        return _filtered(ranked, known, df.columns, lambda rows: pick(rows, list(keys), order))
+        return _filtered_in_rounds(ranked, known, total, df.columns, lambda rows: pick(rows, list(keys), order))
     joined = ranked.join(F.broadcast(marks), KEY, "left")
     chosen, equals = joined.filter(apart | alone), joined.filter(ties)
     chosen = chosen.select(*[f"`{c}`" for c in df.columns])

@@ -102,3 +102,14 @@ def test_rows_that_come_once_are_not_folded(spark, monkeypatch):
     monkeypatch.setattr(type(df), "distinct", counting(type(df).distinct))
     assert listed(bronze.exact_distinct(df)) == want
     assert len(moved) == 2 and all(80 <= n < 200 for n in moved)
+
+
+@pytest.mark.parametrize("pick", ["keep_first", "keep_last"])
+def test_contested_rows_are_folded_a_part_at_a_time(rows, monkeypatch, pick):
+    """Past the bound rows of contested keys are stored and exchanged by parts of the keys, and the rows are the same."""
+    folds, plain = [], getattr(keyed, pick)
+    want = listed(plain(rows, ["k", "d"], ["n", "day"]))
+    monkeypatch.setattr(latefetch, "ROWS_PER_ROUND", 900)
+    monkeypatch.setattr(keyed, pick, lambda df, *a: folds.append(df) or plain(df, *a))
+    assert listed(getattr(latefetch, pick)(rows, ["k", "d"], ["n", "day"], max_rows=0)) == want
+    assert len(folds) >= 2
