@@ -346,3 +346,30 @@ def test_fits_read_partitions_of_bounded_size(patterns):
     table = M.spread(rows, rows.count(), 50)
     sizes = table.rdd.glom().map(len).collect()
     assert sum(sizes) == rows.count() and max(sizes) <= 100 and M.spread(table, rows.count(), 50) is table
+
+
+def test_kinds_of_rows_are_explained_once_over_all_batches(patterns):
+    """Rows of a kind met in an earlier batch do not go through the leaves again, and get the same numbers as alone."""
+    table = M.assembled(patterns)
+    rows = np.array([r.features.toArray() for r in table.rows.limit(60).collect()])
+    rows[:3, -2:] = np.nan
+    for tree in A.trees_of(patterns.sparkSession, M.fitted(table, SMALL)):
+        kinds, made = A.Kinds(tree, A.leaves(tree)[0]), []
+        kinds.of = lambda new, width, whole=kinds.of: made.append(len(new)) or whole(new, width)
+        got, alone = np.zeros((120, rows.shape[1])), np.zeros((60, rows.shape[1]))
+        for at in (0, 60):
+            kinds.add(rows, got[at : at + 60])
+        assert len(made) == 1 and made[0] <= 60
+        for i in range(60):
+            A.add_contributions(tree, A.leaves(tree)[0], rows[i : i + 1], alone[i : i + 1])
+        kinds.size = 1 << 63
+        by_splits = np.zeros((60, rows.shape[1]))
+        kinds.add(rows, by_splits)
+        assert np.array_equal(got, np.tile(alone, (2, 1))) and np.array_equal(by_splits, alone)
+
+
+def test_a_report_of_contributions_does_not_make_them_anew(patterns):
+    model = M.train(patterns, SMALL)
+    for report in (M.attribution(model, patterns, DAY), M.held_importance(model, patterns, DAY)):
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and report.count() == len(M.FEATURES)
